@@ -7,6 +7,7 @@ import importlib
 #: Query name and module. A module has query(spark, sf_dir), and SQL where SQL can say it.
 OPERATORS = {
     "op1_line_dedup": "line_dedup",
+    "op2_best_fit_packing": "packing",
     "op5_simhash_near_dedup": "simhash",
     "op10_exact_dedup": "exact_dedup",
 }
