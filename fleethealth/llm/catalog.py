@@ -9,6 +9,7 @@ OPERATORS = {
     "op1_line_dedup": "line_dedup",
     "op2_best_fit_packing": "packing",
     "op3_language_id": "language_id",
+    "op4_toxicity": "toxicity",
     "op5_simhash_near_dedup": "simhash",
     "op9_byte_bpe": "byte_bpe",
     "op10_exact_dedup": "exact_dedup",
