@@ -11,6 +11,7 @@ OPERATORS = {
     "op3_language_id": "language_id",
     "op4_toxicity": "toxicity",
     "op5_simhash_near_dedup": "simhash",
+    "op6_warc": "warc",
     "op7_document_fingerprints": "syncmers",
     "op9_byte_bpe": "byte_bpe",
     "op10_exact_dedup": "exact_dedup",
