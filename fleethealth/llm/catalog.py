@@ -13,6 +13,7 @@ OPERATORS = {
     "op5_simhash_near_dedup": "simhash",
     "op6_warc": "warc",
     "op7_document_fingerprints": "syncmers",
+    "op8_token_counts": "token_counts",
     "op9_byte_bpe": "byte_bpe",
     "op10_exact_dedup": "exact_dedup",
 }
