@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from fleethealth.plans import queries_series, queries_telemetry, registry
 
-def queries() -> dict:
-    return {}
+MODULES = (queries_telemetry, queries_series)
+
+
+def queries() -> dict[str, registry.Query]:
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(registry.SQL)

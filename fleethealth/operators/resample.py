@@ -31,17 +31,23 @@ def on_grid(df: DataFrame, step: str = "1 minute", names: Names = Names(), snap:
 
 def fill_both_ways(c: Column, keys: Sequence[str], ts: str) -> Column:
     """The last value before a null, else the first one after it."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    return F.coalesce(F.last(c, True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.first(c, True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    return F.coalesce(last_known(c, keys, ts), next_known(c, keys, ts))
+
+
+def last_known(c: Column, keys: Sequence[str], ts: str) -> Column:
+    return F.last(c, True).over(Window.partitionBy(*keys).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0))
+
+
+def next_known(c: Column, keys: Sequence[str], ts: str) -> Column:
+    """Backwards in time, as a frame that grows is linear and one that shrinks is evaluated anew for each row."""
+    return F.last(c, True).over(Window.partitionBy(*keys).orderBy(F.col(ts).desc()).rowsBetween(Window.unboundedPreceding, 0))
 
 
 def interpolated(column: str, keys: Sequence[str], ts: str, limit: int) -> Column:
     """Straight lines in time between readings: the first ``limit`` nulls of a gap, and none before the first or after the last reading."""
-    w = Window.partitionBy(*keys).orderBy(ts)
     c, t = F.col(column), F.col(ts)  # __at numbers the rows of the keys by time
     known = F.when(c.isNotNull(), F.struct(c.cast("double").alias("v"), t.alias("t"), F.col("__at").alias("n")))
-    before = F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(known, True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    before, after = last_known(known, keys, ts), next_known(known, keys, ts)
     micros = lambda a, b: F.timestamp_diff("MICROSECOND", a, b).cast("double")
     line = before["v"] + (after["v"] - before["v"]) * micros(before["t"], t) / micros(before["t"], after["t"])
     return F.when(c.isNotNull(), c.cast("double")).when(before.isNotNull() & after.isNotNull() & (F.col("__at") - before["n"] <= limit), line)
