@@ -26,7 +26,7 @@ def spanish(c: Column) -> Column:
 
 
 def spanish_month(c: Column) -> Column:
-    return F.coalesce(F.element_at(F.array(*(F.lit(m) for m in MONTHS)), F.month(c)), F.lit("N/A"))
+    return F.when(c.isNotNull(), F.element_at(F.array(*(F.lit(m) for m in MONTHS)), F.month(c))).otherwise("N/A")
 
 
 def recent_months(n: int, until: Column | None = None) -> tuple[Column, Column]:
