@@ -31,11 +31,12 @@ FIT_OTHER = 5_000
 #: Words and stems that the classifier may use.
 FEATURES = 8192
 STEMS = (3, 4, 5, 6, 7, 8)
-#: A feature is used if the share of labelled rows among those that hold it is above this, two standard errors allowed for.
-PURITY = 0.5
+#: A feature is used if the share of labelled rows among those that hold it is above one of these, two standard errors
+#: allowed for. Which one, the labelled rows that no feature is chosen on decide.
+PURITIES = (0.5, 0.6, 0.7, 0.8, 0.9)
 THRESHOLD = 0.3
 LEXICONS = 3  # voters for each kind of feature
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 ABSTAIN, CLEAN, TOXIC = 0, 1, 2
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -101,17 +102,31 @@ class LabelModel:
             p = new
         return p
 
+    @staticmethod
+    def beyond_label(cast: np.ndarray, start: np.ndarray, rounds: int = 100) -> np.ndarray:
+        """How far voters (columns of -1, 0, 1) correlate beyond what the label explains.
+
+        If the label alone made voters agree, their covariances would be products
+        of one number for each voter. These are fitted by least absolute
+        deviations, which a few correlated pairs don't bend; what is left over is
+        returned, in units of the voters' deviations.
+        """
+        centred = cast - cast.mean(axis=0)
+        cov = centred.T @ centred / len(cast)
+        dev = np.sqrt(np.diag(cov)) + 1e-9
+        v = centred.T @ (start - start.mean()) / len(cast) / (start.std() + 1e-9)
+        off = ~np.eye(len(cov), dtype=bool)
+        for _ in range(rounds):
+            w = np.where(off, 1 / np.maximum(np.abs(cov - np.outer(v, v)), 1e-6), 0.0)
+            v = 0.5 * v + 0.5 * ((w * cov) @ v) / np.maximum(w @ v**2, 1e-12)
+        return np.where(off, cov - np.outer(v, v), 0.0) / dev[:, None] / dev[None, :]
+
     @classmethod
-    def fit(cls, votes: np.ndarray, start: np.ndarray, strong: float = 0.15, most: int = 3, rounds: int = 50) -> tuple[LabelModel, np.ndarray]:
+    def fit(cls, votes: np.ndarray, start: np.ndarray, strong: float = 0.15, most: int = 6, rounds: int = 50) -> tuple[LabelModel, np.ndarray]:
         """votes: rows x voters of ABSTAIN, CLEAN, TOXIC; start: a first guess of the posterior, which says what toxic is."""
-        n, m = votes.shape
+        m = votes.shape[1]
         model = cls(groups=[(v,) for v in range(m)])
-        p = model._em(votes, start, rounds)
-        cast = (votes == TOXIC).astype(float) - (votes == CLEAN)
-        # what is left of the votes after the label: voters that agree beyond it are correlated
-        rest = cast - ((1 - p)[:, None] * (((1 - p) @ cast) / max((1 - p).sum(), 1e-9)) + p[:, None] * ((p @ cast) / max(p.sum(), 1e-9)))
-        norm = np.sqrt((rest**2).sum(axis=0)) + 1e-9
-        corr = rest.T @ rest / norm[:, None] / norm[None, :]
+        corr = model.beyond_label((votes == TOXIC).astype(float) - (votes == CLEAN), start)
         member = {v: (v,) for v in range(m)}
         for a, b in sorted(itertools.combinations(range(m), 2), key=lambda x: -abs(corr[x])):
             if abs(corr[a, b]) < strong:
@@ -122,7 +137,7 @@ class LabelModel:
                 for v in joint:
                     member[v] = joint
         model.groups = sorted(set(member.values()))
-        return model, model._em(votes, p, rounds)
+        return model, model._em(votes, start, rounds)
 
 
 def logistic(rows: list[np.ndarray], n_features: int, target: np.ndarray, l2: float = 1e-3, rounds: int = 300) -> tuple[np.ndarray, float]:
@@ -178,7 +193,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, labelled: int, other: int) -> DataFrame:
-    """(text, toxic or null): what is fitted on. Of a doc_id that is labelled twice the higher label counts."""
+    """(text, toxic or null, checks): what is fitted on; a fifth of the rows checks. Of a doc_id that is labelled twice the higher label counts."""
     free = lambda d: d.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marked = free(labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic is not null")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     docs = free(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null"))
@@ -186,11 +201,12 @@ def sample(docs: DataFrame, labels: DataFrame, labelled: int, other: int) -> Dat
     chosen = first(marked, labelled)
     rest = first(docs.select("doc_id").join(marked.select("doc_id"), "doc_id", "left_anti"), other).select("doc_id", F.lit(None).cast("int").alias("toxic"))
     # labelled + other rows at most
-    return docs.join(F.broadcast(chosen.unionByName(rest)), "doc_id").select("text", "toxic")
+    checks = F.pmod(F.crc32(F.concat(F.lit("check"), F.col("doc_id").cast("string"))), F.lit(5)) == 0
+    return docs.join(F.broadcast(chosen.unionByName(rest)), "doc_id").select("text", "toxic", checks.alias("checks"))
 
 
-def _mine(rows: DataFrame, most: int) -> list[tuple[int, str]]:
-    """Words and stems that go with the label more often than chance explains, the strongest first."""
+def _mine(rows: DataFrame, most: int) -> list[tuple[int, str, float]]:
+    """Words and stems that go with the label more often than chance explains, the strongest first, with the lower bound of their purity."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both: Counter = Counter()
@@ -209,22 +225,23 @@ def _mine(rows: DataFrame, most: int) -> list[tuple[int, str]]:
                 names=["kind", "feature", "n", "n_toxic"],
             )
 
-    total = rows.where("toxic is not null").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic")).first()
+    rows = rows.where("toxic is not null")
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic")).first()
     if not total.n or not total.toxic or total.toxic == total.n:
         return []
     rate = total.toxic / total.n
-    counted = written(rows.where("toxic is not null").mapInArrow(count, "kind int, feature string, n long, n_toxic long").groupBy("kind", "feature").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("k")).where("k >= 3"), "features")
+    counted = written(rows.mapInArrow(count, "kind int, feature string, n long, n_toxic long").groupBy("kind", "feature").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("k")).where("k >= 3"), "features")
     xlog = lambda a, b: F.when(a > 0, a * F.log(a / b)).otherwise(0.0)
     k, n = F.col("k").cast("double"), F.col("n").cast("double")
     evidence = 2 * (xlog(k, n * rate) + xlog(n - k, n * (1 - rate)))
     needed = 2 * float(np.log(max(1, counted.count()))) + 2
     low = (k + 2 - 2 * F.sqrt(k * (n - k) / n + 1)) / (n + 4)  # Wilson's bound
-    best = counted.withColumn("evidence", evidence).where((low > max(PURITY, 2 * rate)) & (F.col("evidence") > needed)).orderBy(F.desc("evidence"), "kind", "feature").limit(most).collect()
-    return [(r.kind, r.feature) for r in best]
+    best = counted.withColumns({"evidence": evidence, "low": low}).where((F.col("low") > max(PURITIES[0], 2 * rate)) & (F.col("evidence") > needed)).orderBy(F.desc("evidence"), "kind", "feature").limit(most).collect()
+    return [(r.kind, r.feature, r.low) for r in best]
 
 
 def _observe(rows: DataFrame, index: dict[tuple[int, str], int]) -> list:
-    """For each row its features' numbers, its patterns' hits, its number of words and its label."""
+    """For each row its features' numbers, its patterns' hits, its number of words and its label; in an order of their own, so that fits repeat."""
     shared = rows.sparkSession.sparkContext.broadcast(index)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,9 +254,10 @@ def _observe(rows: DataFrame, index: dict[tuple[int, str], int]) -> list:
                 hits.append(sorted({known[f] for x in own for f in features(x) if f in known}))
                 patterns.append([bool(p.search(text)) for p in _PATTERNS.values()])
                 words.append(len(own))
-            yield pa.RecordBatch.from_arrays([pa.array(hits, pa.list_(pa.int32())), pa.array(patterns, pa.list_(pa.bool_())), pa.array(words, pa.int64()), batch.column("toxic")], names=["hits", "patterns", "words", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(hits, pa.list_(pa.int32())), pa.array(patterns, pa.list_(pa.bool_())), pa.array(words, pa.int64()), batch.column("toxic"), batch.column("checks")], names=["hits", "patterns", "words", "toxic", "checks"])
 
-    return rows.mapInArrow(of, "hits array<int>, patterns array<boolean>, words long, toxic int").collect()  # the sample's size
+    seen = rows.mapInArrow(of, "hits array<int>, patterns array<boolean>, words long, toxic int, checks boolean").collect()  # the sample's size
+    return sorted(seen, key=lambda r: (r.words, r.hits, r.patterns, str(r.toxic), r.checks))
 
 
 def voters(index: dict[tuple[int, str], int]) -> tuple[list[str], np.ndarray]:
@@ -252,32 +270,60 @@ def voters(index: dict[tuple[int, str], int]) -> tuple[list[str], np.ndarray]:
     return [*names, *_PATTERNS, "nothing_found", "hardly_found", "annotator"], own
 
 
+def _trained(seen: list, index: dict[tuple[int, str], int], used: np.ndarray) -> tuple[LabelModel, np.ndarray, float]:
+    """Label model and classifier of the observed rows, by the features in use alone."""
+    names, lexicon = voters(index)
+    own = len(names) - 3 - len(_PATTERNS)
+    hits = [h[used[h]] for h in (np.asarray(r.hits, dtype=np.int64) for r in seen)]
+    votes = np.zeros((len(seen), len(names)), dtype=np.int8)
+    for i, (r, h) in enumerate(zip(seen, hits)):
+        votes[i, lexicon[h]] = TOXIC
+        votes[i, own:-3][np.asarray(r.patterns)] = TOXIC
+        votes[i, -3] = ABSTAIN if len(h) else CLEAN
+        votes[i, -2] = CLEAN if len(h) * 200 <= r.words else ABSTAIN
+        votes[i, -1] = ABSTAIN if r.toxic is None else TOXIC if r.toxic else CLEAN
+    cast = (votes[:, :own] == TOXIC).any(axis=1)
+    start = np.where(votes[:, -1] == TOXIC, 0.8, np.where(votes[:, -1] == CLEAN, 0.05, np.where(cast, 0.6, 0.05)))
+    model, posterior = LabelModel.fit(votes, start)
+    w, b = logistic(hits, len(index), posterior)
+    return model, np.where(used, w, 0.0), b
+
+
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = FIT_LABELLED, other: int = FIT_OTHER, most: int = FEATURES) -> Classifier:
+    """Fits on ``labelled`` and ``other`` rows at most; the driver holds their features' numbers and no texts."""
     rows = written(sample(docs, labels, labelled, other), "toxicity-sample")
-    chosen = _mine(rows, most)
-    index = {f: i for i, f in enumerate(chosen)}
+    limit = _purity(rows, most)
+    chosen = [f for f in _mine(rows, most) if f[2] > limit]
+    index = {(kind, x): i for i, (kind, x, _) in enumerate(chosen)}
     if not index:
         rate = rows.where("toxic is not null").agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
         rate = min(max(rate, 0.001), 0.999)
         return Classifier({}, np.zeros(0), float(np.log(rate / (1 - rate))), LabelModel(prior=rate))
-    seen = _observe(rows, index)
-    names, lexicon = voters(index)
-    votes = np.zeros((len(seen), len(names)), dtype=np.int8)
-    for i, r in enumerate(seen):
-        votes[i, lexicon[r.hits]] = TOXIC
-        for j, hit in enumerate(r.patterns):
-            if hit:
-                votes[i, len(names) - 3 - len(_PATTERNS) + j] = TOXIC
-        votes[i, -3] = ABSTAIN if r.hits else CLEAN
-        votes[i, -2] = CLEAN if len(r.hits) * 200 <= r.words else ABSTAIN
-        votes[i, -1] = ABSTAIN if r.toxic is None else TOXIC if r.toxic else CLEAN
-    cast = (votes[:, : len(names) - 3 - len(_PATTERNS)] == TOXIC).any(axis=1)
-    start = np.where(votes[:, -1] == TOXIC, 0.8, np.where(votes[:, -1] == CLEAN, 0.05, np.where(cast, 0.6, 0.05)))
-    model, posterior = LabelModel.fit(votes, start)
-    w, b = logistic([np.asarray(r.hits, dtype=np.int64) for r in seen], len(index), posterior)
+    model, w, b = _trained(_observe(rows, index), index, np.ones(len(index), dtype=bool))
     return Classifier(index, w, b, model)
 
 
+def _purity(rows: DataFrame, most: int) -> float:
+    """The limit of PURITIES by which a model of four fifths of the rows labels the rest best, the strictest of equals."""
+    chosen = _mine(rows.where("not checks"), most)
+    index = {(kind, x): i for i, (kind, x, _) in enumerate(chosen)}
+    purity = np.array([low for _, _, low in chosen])
+    seen = _observe(rows, index) if index else []
+    learn, check = [r for r in seen if not r.checks], [r for r in seen if r.checks and r.toxic is not None]
+    true = np.array([bool(r.toxic) for r in check])
+    best, limit = -1.0, PURITIES[0]
+    for p in PURITIES if check else ():
+        used = purity > p
+        if not used.any():
+            break
+        _, w, b = _trained(learn, index, used)
+        said = np.array([w[r.hits].sum() + b >= np.log(THRESHOLD / (1 - THRESHOLD)) for r in check])
+        f1 = 2 * float((said & true).sum()) / max(1, int(said.sum() + true.sum()))
+        if f1 >= best:
+            best, limit = f1, p
+    return limit
+
+
 def scored(docs: DataFrame, model: Classifier) -> DataFrame:
     """doc_id, score and predicted for each row.
 
