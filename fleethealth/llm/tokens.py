@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 from collections.abc import Callable
 
 import numpy as np
@@ -30,19 +31,26 @@ def special_aware(path: str) -> Callable[[str], np.ndarray]:
     but the few that hold a special token's string; it is the same encoding and
     several times faster.
     """
-    from tokenizers import Tokenizer
+    with open(path, encoding="utf-8") as file:
+        special = [t["content"] for t in json.load(file)["added_tokens"]]
+
+    @functools.cache
+    def slow():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(path)
+
+    def exact(text: str) -> np.ndarray:
+        return np.array(slow().encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
-    slow = Tokenizer.from_file(path)
-    special = [t.content for t in slow.get_added_tokens_decoder().values()]
-    twin = path.removesuffix(".json") + ".tiktoken"
     try:
-        fast = encoder(twin)
+        fast = encoder(path.removesuffix(".json") + ".tiktoken")
     except FileNotFoundError:
-        return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return exact
 
     def encode(text: str) -> np.ndarray:
         if any(s in text for s in special):
-            return np.array(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+            return exact(text)
         return fast.encode_to_numpy(text, disallowed_special=())
 
     return encode
