@@ -67,7 +67,7 @@ def test_read_in_chunks_gives_the_payloads(spark, pages, tmp_path):
     for r in sorted(rows, key=lambda r: r.chunk_no):
         assert len(r.data) <= 700
         by[r.record_id] = by.get(r.record_id, b"") + bytes(r.data)
-    assert by["<urn:x-page:3>"] == b"" and by["<urn:x-page:8>"] == PAGES[9][2].encode()
+    assert by["<urn:x-page:1>"] == b"" and by["<urn:x-page:3>"] == BIG.encode() and by["<urn:x-page:8>"] == PAGES[9][2].encode()
     one = index.first()
     with open(one.path.removeprefix("file://"), "rb") as f:
         f.seek(one.offset)
