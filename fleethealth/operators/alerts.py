@@ -9,11 +9,20 @@ from pyspark.sql import functions as F
 
 # System and subsystem of a signal.
 SYSTEMS = {
-    "EngCoolTemp": ("Motor", "Refrigeración"),
-    "EngOilPres": ("Motor", "Lubricación"),
-    "TrnLubeTemp": ("Transmisión", "Lubricación"),
-    "RtRBrkTemp": ("Frenos", "Frenos Traseros"),
-    "StrgOilTemp": ("Dirección", "Hidráulica"),
+    "EngCoolTemp": ("Engine", "Cooling"),
+    "EngOilPres": ("Engine", "Lubrication"),
+    "EngSpd": ("Engine", "Combustion"),
+    "TCOutTemp": ("Engine", "Turbocharger"),
+    "TrnLubeTemp": ("Transmission", "Lubrication"),
+    "TrnOilPres": ("Transmission", "Hydraulics"),
+    "LtFBrkTemp": ("Brakes", "Friction"),
+    "LtRBrkTemp": ("Brakes", "Friction"),
+    "RtFBrkTemp": ("Brakes", "Friction"),
+    "RtRBrkTemp": ("Brakes", "Friction"),
+    "StrgOilTemp": ("Steering", "Hydraulics"),
+    "StrgOilPres": ("Steering", "Hydraulics"),
+    "DiffTemp": ("Differential", "Lubrication"),
+    "DiffLubePres": ("Differential", "Lubrication"),
 }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -27,12 +28,16 @@ def information(n: int, rss: float, k: int) -> tuple[float, float]:
 
 
 def ols(df: DataFrame, target: str, terms: Sequence[str]) -> Fit:
-    """Ordinary least squares of the target on numeric and string columns (dummies, the first value by name left out); rows with a null go."""
+    """Ordinary least squares of the target on numeric and string columns (dummies, the first value by name left out); rows with a null go.
+
+    A term may join columns: ``a:b`` is their product, ``a*b`` that and both.
+    """
     from pyspark.ml.feature import RFormula
     from pyspark.ml.regression import LinearRegression
 
     formula = f"{target} ~ {' + '.join(terms)}"
-    rows = df.select(target, *terms).na.drop()
+    columns = list(dict.fromkeys(c.strip() for t in terms for c in re.split("[:*]", t)))
+    rows = df.select(target, *columns).na.drop()
     encoded = RFormula(formula=formula, stringIndexerOrderType="alphabetDesc", featuresCol="__x", labelCol="__y").fit(rows)
     data = encoded.transform(rows)
     model = LinearRegression(featuresCol="__x", labelCol="__y", solver="normal").fit(data)

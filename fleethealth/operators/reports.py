@@ -138,3 +138,13 @@ def heatmap(rows: DataFrame, slot: Column, severity: str = "severity") -> DataFr
 
 def data_profile(df: DataFrame, unit: str, ts: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(unit).alias("units"), F.min(ts).alias("first_time"), F.max(ts).alias("last_time"))
+
+
+def page(df: DataFrame, order: Sequence[Column | str], size: int, number: int = 0) -> DataFrame:
+    """A page of a table in an order that leaves no ties."""
+    return df.orderBy(*order).offset(size * number).limit(size)
+
+
+def shuffled(df: DataFrame, keys: Sequence[str], seed: int = 42) -> DataFrame:
+    """Rows in a random order that depends on the keys and the seed and not on how rows are partitioned."""
+    return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleethealth.config import RANGES, Health, Names, Windowing
 from fleethealth.operators import clean, features, health, reconstruct, resample, windows
+from fleethealth.sources.writers import write_json
 
 
 @dataclass(frozen=True)
@@ -90,3 +92,19 @@ def tune(train: DataFrame, valid: DataFrame, alphas: Sequence[float], unit: str
 def quality(series: DataFrame, names: Names = Names()) -> DataFrame:
     """Rows, created and imputed shares and the number of time steps of each unit."""
     return series.groupBy(names.unit).agg(F.count(F.lit(1)).alias("n_rows"), F.avg(F.col("created_by_reindex").cast("double")).alias("created_share"), F.avg(F.col("imputed_any").cast("double")).alias("imputed_share"))
+
+
+def save_artifacts(stats: DataFrame, cfg: Health, folder: str) -> None:
+    """Settings, signals and reference errors as three small JSON files."""
+    spark = stats.sparkSession
+    rows = {r["signal"]: {k: v for k, v in r.asDict().items() if k != "signal"} for r in stats.orderBy("signal").collect()}  # a row a signal
+    write_json(spark, asdict(cfg), f"{folder}/health_index_config.json")
+    write_json(spark, rows, f"{folder}/error_stats.json")
+    write_json(spark, list(rows), f"{folder}/signal_cols.json")
+
+
+def load_artifacts(spark: SparkSession, folder: str) -> tuple[DataFrame, Health]:
+    """What save_artifacts wrote: reference errors and settings."""
+    held = {name: json.loads("\n".join(r.value for r in spark.read.text(f"{folder}/{name}.json", wholetext=True).collect())) for name in ("health_index_config", "error_stats", "signal_cols")}
+    rows = [(s, *(held["error_stats"][s][c] for c in ("p_low", "p_high", "mean", "std", "min", "max", "n"))) for s in held["signal_cols"]]
+    return spark.createDataFrame(rows, "signal string, p_low double, p_high double, mean double, std double, min double, max double, n long"), Health(**held["health_index_config"])

@@ -367,3 +367,26 @@ def test_names_can_be_changed(spark):
     df = telemetry(spark, ["ND"] * 5).toDF("machine", "at", "mode", "s")
     base = baseline.baselines(df, ["s"], "v", 5, names)
     assert base.columns[:3] == ["Unit", "Signal", "EstadoMaquina"] and base.count() == 1
+
+
+def test_health_artifacts_come_back(spark, tmp_path):
+    from fleethealth.config import Health
+
+    rows = spark.createDataFrame([("u", 0, "s", float(i), 0.0) for i in range(10)], "Unit string, hour_idx int, signal string, y_true double, y_pred double")
+    stats = health.error_stats(rows)
+    health_index.save_artifacts(stats, Health(alpha=2.0), str(tmp_path / "a"))
+    again, cfg = health_index.load_artifacts(spark, str(tmp_path / "a"))
+    assert cfg == Health(alpha=2.0) and [tuple(r) for r in again.collect()] == [tuple(r) for r in stats.select(*again.columns).collect()]
+
+
+def test_pages_and_shuffles(spark):
+    df = spark.range(25)
+    assert [r.id for r in reports.page(df, ["id"], 10, 2).collect()] == list(range(20, 25))
+    a, b = ([r.id for r in reports.shuffled(df.repartition(n), ["id"]).collect()] for n in (1, 5))
+    assert a == b != list(range(25)) and sorted(a) == list(range(25))
+
+
+def test_regression_with_interactions(spark):
+    rows = [(float(i % 7), "ab"[i % 2], 3.0 + 2.0 * (i % 7) * (i % 2 == 1)) for i in range(70)]
+    fit = regress.ols(spark.createDataFrame(rows, "x double, g string, y double"), "y", ["x*g"])
+    assert fit.r2 == pytest.approx(1.0, abs=1e-9) and fit.n == 70
