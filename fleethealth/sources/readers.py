@@ -74,7 +74,7 @@ def history_bounds(year: int, week: int, lookback_days: int = 90) -> tuple[dt.da
 def baseline_window(spark: SparkSession, folder: str, year: int, week: int, lookback_days: int = 90, ts: str = "Fecha") -> DataFrame:
     """Telemetry of the days before a week, of all files that can be read, in one scan with the bounds pushed down."""
     start, end = history_bounds(year, week, lookback_days)
-    df = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).option("pathGlobFilter", "Week*.parquet").parquet(folder)
+    df = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(f"{folder}/Week*.parquet")
     return _time(df, ts).where((F.col(ts) >= F.lit(start)) & (F.col(ts) <= F.lit(end)))
 
 

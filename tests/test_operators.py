@@ -296,7 +296,7 @@ def test_weekly_run_end_to_end(spark, tmp_path):
     week_table(spark, silver, 50, 2025, [("A", monday + dt.timedelta(minutes=i), "ND", 200.0 if i % 2 else 85.0) for i in range(50)])
     (tmp_path / "map.json").write_text(json.dumps({"components": {"engine": {"signals": ["EngCoolTemp"], "criticality": "High"}}}))
     done = weekly.run_weeks(spark, silver, f"{tmp_path}/map.json", golden, [(2025, 50), (2025, 51), (2025, 50)])
-    assert [d["status"] for d in done] == ["SUCCESS", "ERROR", "SUCCESS"]
+    assert [d["status"] for d in done] == ["SUCCESS", "ERROR", "SUCCESS"], done
     got = {r.unit_id: r for r in spark.read.parquet(f"{golden}/machine_status.parquet").collect()}
     assert got["A"].overall_status == "Alerta" and got["B"].overall_status == "InsufficientData"
     assert spark.read.parquet(f"{golden}/classified.parquet").count() == 1
