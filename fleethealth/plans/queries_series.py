@@ -212,10 +212,10 @@ def error_stats(spark, d):
     return out.select("signal", *(F.round(c, 6).alias(c) for c in ("p_low", "p_high", "mean", "std", "min", "max")), "n")
 
 
-@query("recon_errors", f"WITH {PAIRS} SELECT Unit, hour_idx, signal, round(avg(err), 6) AS mae, round(avg((y_true - y_pred) * (y_true - y_pred)), 4) AS mse, round(sqrt(avg((y_true - y_pred) * (y_true - y_pred))), 6) AS rmse FROM te GROUP BY ALL")
+@query("recon_errors", f"WITH {PAIRS} SELECT Unit, hour_idx, signal, round(avg(err), 9) AS mae, round(avg((y_true - y_pred) * (y_true - y_pred)), 8) AS mse, round(sqrt(avg((y_true - y_pred) * (y_true - y_pred))), 9) AS rmse FROM te GROUP BY ALL")
 def recon_errors(spark, d):
     out = health.reconstruction_errors(pairs(spark, d)[1], ["Unit", "hour_idx", "signal"])
-    return out.select("Unit", "hour_idx", "signal", F.round("mae", 6).alias("mae"), F.round("mse", 4).alias("mse"), F.round("rmse", 6).alias("rmse"))
+    return out.select("Unit", "hour_idx", "signal", F.round("mae", 9).alias("mae"), F.round("mse", 8).alias("mse"), F.round("rmse", 9).alias("rmse"))
 
 
 @query("health_signal", f"WITH {PAIRS} SELECT Unit, hour_idx, signal, round(raw, 6) AS recon_error_raw, round(norm, 6) AS recon_error_norm FROM ss")
