@@ -232,6 +232,24 @@ def test_forecast_follows_a_line(spark):
     df = spark.createDataFrame([("u", T0 + dt.timedelta(hours=h), 2.0 * h) for h in range(200)], "Unit string, Fecha timestamp, s double")
     out = reconstruct.forecast(df, "Unit", "s", "Fecha", 1).orderBy("step").collect()
     assert len(out) == 24 and out[0].forecast == pytest.approx(400, abs=1e-3)
+    assert out[0].lower == pytest.approx(400, abs=1e-3) and out[0].upper == pytest.approx(400, abs=1e-3)
+
+
+def test_forecast_keeps_the_hour_of_day(spark):
+    df = spark.createDataFrame([("u", T0 + dt.timedelta(hours=h), 100.0 if (T0.hour + h) % 24 == 6 else 0.0) for h in range(24 * 20)], "Unit string, Fecha timestamp, s double")
+    out = reconstruct.forecast(df, "Unit", "s", "Fecha", 3).collect()
+    high = {r.step for r in out if r.forecast > 50}
+    assert high == {s for s in range(1, 73) if (T0.hour + 24 * 20 - 1 + s) % 24 == 6}
+    assert all(r.lower <= r.forecast <= r.upper for r in out)
+
+
+def test_forecast_status(spark):
+    made = spark.createDataFrame([(u, 1, x, x - 1, x + 1) for u, x in (("a", 5.0), ("b", 50.0), ("c", 5.0))], "Unit string, step int, forecast double, lower double, upper double")
+    limits = spark.createDataFrame([("a", 0.0, 10.0), ("b", 0.0, 10.0)], "Unit string, P5 double, P95 double")
+    got = {r.Unit: (r.predicted_status, r.forecast_lower, r.forecast_upper) for r in reconstruct.forecast_status(made, limits, "Unit").collect()}
+    assert got == {"a": ("Normal", 4.0, 6.0), "b": ("Alerta", 49.0, 51.0), "c": ("InsufficientData", 4.0, 6.0)}
+    few = spark.createDataFrame([("u", T0, None)], "Unit string, Fecha timestamp, s double")
+    assert reconstruct.forecast(few, "Unit", "s", "Fecha", 1).count() == 0
 
 
 def test_quality_and_alert_rules(spark):
