@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleethealth.llm import exact_dedup, language_id, packing, simhash, toxicity
+from fleethealth.llm import exact_dedup, language_id, near_copies, packing, toxicity
 from fleethealth.llm.common import table, written
 
 
@@ -31,8 +31,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near copies the one of the smallest doc_id."""
-    return simhash.deduplicated(docs)
+    """Of near copies, by five-word shingles with a Jaccard similarity of 0.8 or more, the one of the smallest doc_id."""
+    return near_copies.deduplicated(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
