@@ -2,13 +2,15 @@
 
 A k-mer is chosen if the least of its s-mers stands at its first or last place.
 The choice looks at the k-mer alone, so the same passage gives the same anchors
-in any document and an edit touches no anchor beyond k characters. Anchors are
-matched with their positions: two documents are alike as far as their common
-anchors keep their order, that is, sit at one offset from each other.
+in any document and an edit touches no anchor beyond k characters. All anchors
+are kept, so a passage is found in a text of any length. Anchors are matched
+with their positions: two documents are alike as far as their common anchors
+keep their order, that is, sit at one offset from each other.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -22,8 +24,6 @@ from fleethealth.llm.common import slices, table, utf8
 
 K = 10
 S = 4
-#: Anchors in a fingerprint: those of the lowest hash.
-ANCHORS = 48
 #: Code points that are hashed at once.
 BLOCK = 1 << 18
 #: Texts of fewer code points also give anchors of this length and inner length.
@@ -73,63 +73,59 @@ def syncmers(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.
         return _window_hashes(codes, k)[at] >> np.uint64(32), at
 
 
-def _lowest(h: np.ndarray, at: np.ndarray, anchors: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(h) > 4 * anchors:  # far more than are needed: only the lowest are sorted
-        keep = h <= np.partition(h, 2 * anchors)[2 * anchors]
-        few, where = np.unique(h[keep], return_index=True)
-        if len(few) >= anchors:
-            return few[:anchors], at[keep][where][:anchors]
-    h, first = np.unique(h, return_index=True)
-    return h[:anchors], at[first][:anchors]
-
-
-def sketch(codes: np.ndarray, anchors: int = ANCHORS) -> tuple[np.ndarray, np.ndarray]:
-    """The ``anchors`` distinct anchors of the lowest hash and their first places, sorted by hash.
+def sketch(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All anchors of a text and their places, by place, then by hash.
 
     A text without a syncmer has one anchor, its first k code points or what
     there is of them; an empty text has none.
     """
-    held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     if len(codes) == 0:
-        return held
-    if len(codes) >= K:
-        for start in range(0, len(codes) - K + 1, BLOCK):
-            h, at = syncmers(codes[start : start + BLOCK + K - 1])
-            held = _lowest(np.concatenate([held[0], h]), np.concatenate([held[1], at + start]), anchors)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    found = []
+    for start in range(0, len(codes) - K + 1, BLOCK):
+        h, at = syncmers(codes[start : start + BLOCK + K - 1])
+        found.append((h, at + start))
     if SHORT_K <= len(codes) < SHORT:
-        h, at = syncmers(codes, SHORT_K, SHORT_S)
-        held = _lowest(np.concatenate([held[0], h]), np.concatenate([held[1], at]), anchors)
-    if len(held[0]) == 0:
+        found.append(syncmers(codes, SHORT_K, SHORT_S))
+    h, at = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    if len(h) == 0:
         with np.errstate(over="ignore"):
             return _window_hashes(codes[:K], min(K, len(codes))) >> np.uint64(32), np.zeros(1, np.int64)
-    return held
+    if len(codes) < SHORT:
+        order = np.lexsort((h, at))
+        h, at = h[order], at[order]
+    return h, at
 
 
-def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], anchors: int = ANCHORS) -> float:
-    """From two sketches, the share of anchors in common that sit at the offset most frequent among those.
+def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Of the anchors in common, those at the offset most frequent among them: twice these over the anchors of both.
 
-    Twice the common ones over those of both, estimated over the lowest hashes
-    of both together. Two empty texts are alike, an empty and another not at all.
+    Two empty texts are alike, an empty and another not at all.
     """
     if len(a[0]) == 0 or len(b[0]) == 0:
         return float(len(a[0]) == len(b[0]))
-    union = np.union1d(a[0], b[0])[:anchors]
-    common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    inside = common <= union[-1]
-    if not inside.any():
-        return 0.0
-    _, counts = np.unique(a[1][i[inside]] - b[1][j[inside]], return_counts=True)
-    return float(2 * counts.max() / (counts.max() + len(union)))
+    if np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1]):
+        return 1.0
+    _, i, j = np.intersect1d(a[0], b[0], return_indices=True)
+    _, counts = np.unique(a[1][i] - b[1][j], return_counts=True)
+    return float(2 * counts.max(initial=0) / (len(a[0]) + len(b[0])))
 
 
 def text_of(fingerprint: tuple[np.ndarray, np.ndarray]) -> str:
-    """Hex hashes and places, as ``hash@place``, by rising hash."""
-    return " ".join(f"{h:08x}@{p}" for h, p in zip(fingerprint[0].tolist(), fingerprint[1].tolist()))
+    """Base64 of the anchors by place: how many, 32-bit hashes, steps from place to place as bytes, and in 64 bits each the steps of 255 or more; no anchors are the empty string."""
+    h, at = fingerprint
+    if len(h) == 0:
+        return ""
+    steps = np.diff(at, prepend=0)
+    return base64.b64encode(b"".join([np.uint64(len(h)).tobytes(), h.astype("<u4").tobytes(), np.minimum(steps, 255).astype(np.uint8).tobytes(), steps[steps >= 255].astype("<i8").tobytes()])).decode()
 
 
 def parse(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
-    parts = [x.split("@") for x in fingerprint.split()]
-    return np.array([int(h, 16) for h, _ in parts], dtype=np.uint64), np.array([int(p) for _, p in parts], dtype=np.int64)
+    data = base64.b64decode(fingerprint)
+    n = int.from_bytes(data[:8], "little")
+    steps = np.frombuffer(data, dtype=np.uint8, count=n, offset=8 + 4 * n if n else 0).astype(np.int64)
+    steps[steps == 255] = np.frombuffer(data[8 + 5 * n :], dtype="<i8")
+    return np.frombuffer(data[8 : 8 + 4 * n], dtype="<u4").astype(np.uint64), np.cumsum(steps)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

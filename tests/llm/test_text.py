@@ -200,6 +200,22 @@ def test_likeness():
     assert syncmers.likeness(a, a) == 1.0 and syncmers.likeness(nothing, nothing) == 1.0 and syncmers.likeness(a, nothing) == 0.0
 
 
+def test_a_passage_is_found_in_long_texts():
+    """Fifty words in common of texts of over 20,000 characters; places far apart and no anchors are coded too."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9))) for _ in range(5000)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passage = text(50)
+    a, b = (syncmers.sketch(syncmers._codes(f"{text(2000)} {passage} {text(2000 + k)}".encode())) for k in (0, 300))
+    inside = syncmers.sketch(syncmers._codes(passage.encode()))[0]
+    assert len(inside) > 50 and set(inside.tolist()) <= set(a[0].tolist()) & set(b[0].tolist())
+    assert syncmers.likeness(a, b) > 1.9 * len(inside) / (len(a[0]) + len(b[0]))
+    gaps = np.array([1, 2, 3], dtype=np.uint64), np.array([0, 255, 10**10])
+    for x in (a, gaps, syncmers.sketch(syncmers._codes(b""))):
+        back = syncmers.parse(syncmers.text_of(x))
+        assert back[0].tolist() == x[0].tolist() and back[1].tolist() == x[1].tolist()
+
+
 def edited_of(texts):
     order = sorted(texts, key=lambda x: (x[0] is not None, x[0] or 0, x[1] or ""))
     out = []
