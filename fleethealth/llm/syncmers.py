@@ -5,13 +5,14 @@ The choice looks at the k-mer alone, so the same passage gives the same anchors
 in any document and an edit touches no anchor beyond k characters. All anchors
 are kept, so a passage is found in a text of any length. Anchors are matched
 with their positions: two documents are alike as far as their common anchors
-keep their order, that is, sit at one offset from each other.
+keep their order, whatever is inserted or removed between them.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ BLOCK = 1 << 18
 SHORT, SHORT_K, SHORT_S = 64, 4, 2
 #: Ranges of doc_id at most; their bounds go to all tasks.
 MOST_PARTS = 100_000
+#: Pairs of equal anchors an anchor of two texts up to which all are tried.
+MOST_PAIRS = 8
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -97,18 +100,65 @@ def sketch(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h, at
 
 
+def _rising(places: np.ndarray) -> int:
+    """Length of the longest rising subsequence."""
+    if (np.diff(places) > 0).all():
+        return len(places)
+    tails: list[int] = []
+    for x in places.tolist():
+        k = bisect_left(tails, x)
+        tails[k : k + 1] = [x]
+    return len(tails)
+
+
+def _in_turn(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For each anchor of x that has one, by rising place, the place in y of the equal anchor that comes as often before."""
+
+    def keys(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(h, kind="stable")
+        at = np.arange(len(h))
+        first = np.maximum.accumulate(np.where(np.r_[True, np.diff(h[order]) > 0], at, 0))
+        return h[order] << np.uint64(32) | (at - first).astype(np.uint64), order
+
+    (kx, ox), (ky, oy) = keys(x), keys(y)
+    _, i, j = np.intersect1d(kx, ky, assume_unique=True, return_indices=True)
+    return oy[j][np.argsort(ox[i])]
+
+
+def chain(x: np.ndarray, y: np.ndarray) -> int:
+    """Length of the longest common subsequence of two texts' anchors.
+
+    Exact, but in texts that repeat the same anchors so often that all their
+    pairs are more than MOST_PAIRS an anchor: there equal anchors meet in turn,
+    from the start or from the end, whichever gives more.
+    """
+    n = min(len(x), len(y))
+    differ = np.flatnonzero(x[:n] != y[:n])
+    front = int(differ[0]) if len(differ) else n
+    x, y, n = x[front:], y[front:], n - front
+    differ = np.flatnonzero(x[::-1][:n] != y[::-1][:n])
+    back = int(differ[0]) if len(differ) else n
+    x, y = x[: len(x) - back], y[: len(y) - back]
+    if len(x) == 0 or len(y) == 0:
+        return front + back
+    order = np.argsort(y, kind="stable")
+    low, high = (np.searchsorted(y[order], x, side) for side in ("left", "right"))
+    each = high - low
+    total = int(each.sum())
+    if total > MOST_PAIRS * (len(x) + len(y)):
+        return front + back + max(_rising(_in_turn(x, y)), _rising(_in_turn(x[::-1], y[::-1])))
+    # an anchor's places in y by falling place, so that it counts once
+    return front + back + _rising(order[np.repeat(high, each) - 1 - (np.arange(total) - np.repeat(np.cumsum(each) - each, each))])
+
+
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Of the anchors in common, those at the offset most frequent among them: twice these over the anchors of both.
+    """The longest chain of common anchors whose places rise in both texts: twice its length over the anchors of both.
 
     Two empty texts are alike, an empty and another not at all.
     """
     if len(a[0]) == 0 or len(b[0]) == 0:
         return float(len(a[0]) == len(b[0]))
-    if np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1]):
-        return 1.0
-    _, i, j = np.intersect1d(a[0], b[0], return_indices=True)
-    _, counts = np.unique(a[1][i] - b[1][j], return_counts=True)
-    return float(2 * counts.max(initial=0) / (len(a[0]) + len(b[0])))
+    return 2 * chain(a[0], b[0]) / (len(a[0]) + len(b[0]))
 
 
 def text_of(fingerprint: tuple[np.ndarray, np.ndarray]) -> str:
