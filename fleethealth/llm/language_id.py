@@ -86,7 +86,7 @@ def mixtures(likelihood: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np
         total = (likelihood * pi[doc]).sum(axis=1)
         return pi, np.add.reduceat(np.log(total.astype(np.float64) + 1e-30), first)
 
-    everything, _ = fit(np.ones((n_docs, n_langs), dtype=np.float32))
+    everything, all_fitted = fit(np.ones((n_docs, n_langs), dtype=np.float32))
     order = np.argsort(-everything, axis=1, kind="stable")
     best_pi, best_set, best = None, None, None
     for k in range(1, n_langs + 1):
@@ -97,11 +97,9 @@ def mixtures(likelihood: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np
             score = np.add.reduceat(np.log((likelihood * pi[doc]).sum(axis=1).astype(np.float64) + 1e-30), first)
             best_pi, best_set, best = pi, allowed > 0, score
             continue
-        pi, fitted = fit(allowed)
+        pi, fitted = fit(allowed) if k < n_langs else (everything, all_fitted)
         score = fitted - (k - 1) * (0.5 * np.log(counts + 1.0) + GAIN)
         better = score > best
-        if not better.any():
-            break
         best_pi = np.where(better[:, None], pi, best_pi)
         best_set = np.where(better[:, None], allowed > 0, best_set)
         best = np.where(better, score, best)

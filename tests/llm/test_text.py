@@ -302,6 +302,18 @@ def test_a_mixture_has_both_languages(spark, small):
     assert names[1:] == ["und", "und"] and not chosen[1:].any()
 
 
+def test_languages_of_a_text_do_not_depend_on_others():
+    """The second language is no gain over the first, and both others are; another text's gain doesn't decide whether they are tried."""
+    n, low = 1000, 1e-6
+    alone = np.array([[1, low, low]] * 100 + [[0.4, 1, low]] * 450 + [[0.4, low, 1]] * 450, dtype=np.float32)
+    other = np.full((n, 3), low, dtype=np.float32)
+    other[np.arange(n), np.arange(n) % 2] = 1.0
+    pi, chosen = language_id.mixtures(alone, np.array([n]))
+    both_pi, both = language_id.mixtures(np.concatenate([other, alone]), np.array([n, n]))
+    assert chosen[0].all() and both.tolist() == [[True, True, False], [True] * 3]
+    assert (pi[0] == both_pi[1]).all()
+
+
 def test_languages_of_odd_rows(spark, odd, none):
     model = language_id.fit(odd)
     got = {(r.doc_id, r.lang_pred) for r in language_id.identified(odd, model).collect()}
