@@ -1,8 +1,8 @@
 """WARC archives, written and read in chunks.
 
 A payload is a run of chunks, each a row of record identifier and chunk number
-that carries the digest so far; no step needs a payload as a whole. Each record
-is one gzip member, so archives can be read from any record's offset. Tasks
+that carries the digest so far, where archives are read and compressed; until
+then the writer's join moves a payload as a whole. Each record is one gzip member, so archives can be read from any record's offset. Tasks
 write archives under names of their own into the shared folder and return an
 index of what they wrote; the index, a table, is what makes an archive count, so
 an executor that is lost or a task that runs twice leaves a file that nobody
