@@ -3,7 +3,8 @@
 A text of n bytes is cut into chunks. A chunk's value is its bytes, read as
 16-bit numbers, in a polynomial modulo a prime; chunks combine by
 ``value(a + b) = value(a) * base ** length(b) + value(b)``, so chunks of one
-huge text can be hashed anywhere and in parallel. Two primes give 62 bits, and
+huge text can be hashed anywhere and in parallel where they are stored as rows
+(``chunk_table_fingerprints``); the query hashes each text in one task. Two primes give 62 bits, and
 the length in bytes is part of the key. Rows whose keys are equal are then
 compared chunk by chunk on their bytes.
 """
