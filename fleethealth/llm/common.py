@@ -11,6 +11,9 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder of all tables that operators write, within the shared one.
+WORK = "fleethealth-work"
+
 SPACE = b" \t\n\x0b\x0c\r"
 
 #: Maps bytes A-Z to a-z and leaves all others, so it is safe on UTF-8.
@@ -22,22 +25,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one is set only where the session names none."""
-    set_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    """The folder that all executors share, as spark.checkpoint.dir names it.
+
+    Where it is unset, a local session, whose executors are threads of this
+    machine, gets a temporary folder; a cluster's session is an error, as no
+    folder of the driver's own machine would do.
+    """
+    set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not set_dir:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         set_dir = tempfile.mkdtemp(prefix="fleethealth-")
         spark.sparkContext.setCheckpointDir(set_dir)
     return set_dir.rstrip("/")
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/fleethealth-work/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{WORK}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends there, and a lost executor costs no recomputation.
 
-    The table lives as long as the folder does, as checkpoints do.
+    A plan that reads the table may run after the function that wrote it has
+    returned, so the table lives as long as the folder does, as checkpoints do.
+    ``clean_work`` deletes all of a folder's tables once no result is read any more.
     """
     spark = df.sparkSession
     path = work_path(spark, name)
@@ -46,18 +58,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    shared_dir(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+def clean_work(spark: SparkSession) -> None:
+    """Deletes all tables and archives that this subpackage wrote to the shared folder. Results that aren't collected or written by then are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{WORK}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def delete_work(spark: SparkSession, df: DataFrame) -> None:
     """Deletes the files of a table that ``written`` made."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/fleethealth-work/" in folder:
+        if f"/{WORK}/" in folder:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
 
