@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -27,6 +28,8 @@ from fleethealth.llm.tokens import ranks
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces and pairs that a process remembers; beyond that it starts anew.
 REMEMBERED = 400_000
+#: Code points of a text that are cut into pieces at once.
+LONG = 1 << 21
 
 
 class Vocabulary:
@@ -35,9 +38,9 @@ class Vocabulary:
     def __init__(self, rank_of: dict[bytes, int]) -> None:
         self.rank_of = rank_of
         self.bytes_of = {i: b for b, i in rank_of.items()}
-        self.longest = max(map(len, rank_of), default=1)
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.size_of = {i: len(b) for i, b in self.bytes_of.items()}
         self.pieces: dict[str, tuple[int, ...]] = {}
         # a token counts in the dynamic programming if merging its own bytes gives it
         self.whole: dict[bytes, int] = {}
@@ -51,6 +54,14 @@ class Vocabulary:
                     self.halves[i] = (parts[0], parts[1])
                     self.whole[b] = i
         self.merges = {h: i for i, h in self.halves.items() if h}
+        # what may still become a token: the beginnings of all tokens, as numbered states
+        self.state_of = {b"": 0}
+        for b in self.whole:
+            for k in range(1, len(b) + 1):
+                self.state_of.setdefault(b[:k], len(self.state_of))
+        self.begun = list(self.state_of)
+        self.next: dict[int, int] = {}
+        self.ends: dict[int, tuple[tuple[int, int], ...]] = {}
 
     def _merged(self, data: bytes, below: int | None = None) -> list[int]:
         """Plain merging: the pair of the lowest rank, leftmost first, until no pair has a rank (under ``below``)."""
@@ -73,12 +84,13 @@ class Vocabulary:
         A merge across the seam would have come before the one undone last if
         its rank is lower; then the two don't stand.
         """
-        known = self.pairs.get((a, b))
+        key = a << 32 | b
+        known = self.pairs.get(key)
         if known is not None:
             return known
         if len(self.pairs) >= REMEMBERED:
             self.pairs.clear()
-        key, merges, halves = (a, b), self.merges, self.halves
+        merges, halves = self.merges, self.halves
         undone = len(self.rank_of) + 1
         while True:
             across = merges.get((a, b))
@@ -97,55 +109,104 @@ class Vocabulary:
         self.pairs[key] = known
         return known
 
-    def extend(self, data: bytes, last: list[int]) -> list[int]:
-        """last[i]: the last token of data[:i + 1]. Fills it up from where it ends, in place."""
-        get, longest, joins = self.whole.get, self.longest, self.joins
-        for end in range(len(last) + 1, len(data) + 1):
-            for start in range(max(0, end - longest), end):
-                token = get(data[start:end])
-                if token is not None and (start == 0 or joins(last[start - 1], token)):
-                    last.append(token)
+    def step(self, state: int, byte: int) -> int:
+        """The state after one more byte: the longest beginning of a token that the bytes so far end with."""
+        held = self.begun[state] + bytes((byte,))
+        while (found := self.state_of.get(held)) is None:
+            held = held[1:]
+        if len(self.next) >= REMEMBERED:
+            self.next.clear()
+        self.next[state << 8 | byte] = found
+        if found not in self.ends:
+            self.ends[found] = tuple((self.whole[held[k:]], len(held) - k) for k in range(len(held)) if held[k:] in self.whole)
+        return found
+
+    def extend(self, data: bytes, last: list[int], states: list[int]) -> list[int]:
+        """last[i] and states[i]: the last token of data[:i + 1], and the tokens that may go on from there. Fills both up from where they end, in place.
+
+        Of the tokens that end at a byte, the longest first, the one that stands
+        beside the last token of what is before it is taken; just one does.
+        """
+        after, ends, known, joins = self.next.get, self.ends, self.pairs.get, self.joins
+        state = states[-1] if states else 0
+        for end in range(len(last), len(data)):
+            now = after(state << 8 | data[end])
+            state = now if now is not None else self.step(state, data[end])
+            for token, n in ends[state]:
+                if n > end:
+                    break
+                stands = known(last[end - n] << 32 | token)
+                if stands or stands is None and joins(last[end - n], token):
                     break
             else:
                 raise ValueError("a byte without a token")
+            last.append(token)
+            states.append(state)
         return last
 
     def tokens(self, last: list[int]) -> list[int]:
         """The ids of the whole, walking back from the last token."""
-        out, end = [], len(last)
+        out, end, size_of = [], len(last), self.size_of
         while end:
-            out.append(last[end - 1])
-            end -= len(self.bytes_of[out[-1]])
-        return out[::-1]
+            token = last[end - 1]
+            out.append(token)
+            end -= size_of[token]
+        out.reverse()
+        return out
 
-    def piece(self, text: str) -> tuple[int, ...]:
-        known = self.pieces.get(text)
-        if known is None:
+    def learn(self, pieces: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of each piece that isn't remembered; a piece that is a token is that token, however merging would go.
+
+        Pieces are taken in the order of their bytes, so each keeps what the
+        one before has settled of the bytes that both begin with.
+        """
+        out: dict[str, tuple[int, ...]] = {}
+        before, last, states = b"", [], []
+        for text in sorted(pieces):
             data = text.encode("utf-8")
             one = self.rank_of.get(data)
-            known = (one,) if one is not None else tuple(self.tokens(self.extend(data, [])))
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            if len(text) <= 64:
-                self.pieces[text] = known
-        return known
+            if one is not None:
+                out[text] = (one,)
+                continue
+            n = min(len(before), len(data))
+            differ = int.from_bytes(before[:n]) ^ int.from_bytes(data[:n])
+            same = n - (differ.bit_length() + 7) // 8
+            del last[same:], states[same:]
+            before = data
+            out[text] = tuple(self.tokens(self.extend(data, last, states)))
+        return out
+
+    def ids(self, found: list[list[str]]) -> list[np.ndarray]:
+        """The ids of each list of pieces; what none of them has had before is learnt together."""
+        if len(self.pieces) >= REMEMBERED:
+            self.pieces.clear()
+        new = self.learn(set(chain.from_iterable(found)).difference(self.pieces))
+        self.pieces.update((x, ids) for x, ids in new.items() if len(x) <= 64)
+        known, learnt, out = self.pieces.get, new.get, []
+        for own in found:
+            ids: list[int] = []
+            for x in own:
+                ids += known(x) or learnt(x)
+            out.append(np.array(ids, dtype="<u4"))
+        return out
 
 
 class Prefixes:
     """The encoding of one growing or edited piece."""
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b"") -> None:
-        self.vocabulary, self.data, self.last = vocabulary, data, vocabulary.extend(data, [])
+        self.vocabulary, self.data, self.last, self.states = vocabulary, b"", [], []
+        self.append(data)
 
     def append(self, data: bytes) -> None:
         self.data += data
-        self.vocabulary.extend(self.data, self.last)
+        self.vocabulary.extend(self.data, self.last, self.states)
 
     def replace(self, start: int, end: int, data: bytes) -> None:
         """Puts data in the place of bytes start to end; what stands before start is not encoded again."""
         self.data = self.data[:start] + data + self.data[end:]
-        del self.last[start:]
-        self.vocabulary.extend(self.data, self.last)
+        del self.last[start:], self.states[start:]
+        self.vocabulary.extend(self.data, self.last, self.states)
 
     def ids(self) -> list[int]:
         one = self.vocabulary.rank_of.get(self.data)
@@ -159,21 +220,27 @@ def vocabulary(path: str) -> Vocabulary:
 
 @functools.cache
 def pieces_of(pattern: str = public_tokenizers.PATTERN):
-    return regex.compile(pattern).findall
+    return regex.compile(pattern)
+
+
+def encode_all(texts: list[str], path: str) -> list[np.ndarray]:
+    """The ids of each text. Texts of over LONG code points are cut into pieces bit by bit, so that their pieces aren't held at once."""
+    voc, split = vocabulary(path), pieces_of()
+    short = [k for k, x in enumerate(texts) if len(x) <= LONG]
+    out = dict(zip(short, voc.ids([split.findall(texts[k]) for k in short])))
+    for k, text in enumerate(texts):
+        if k not in out:
+            found = (m.group() for m in split.finditer(text))
+            out[k] = np.concatenate([voc.ids([own])[0] for own in iter(lambda: list(islice(found, LONG // 8)), [])])
+    return [out[k] for k in range(len(texts))]
 
 
 def encode(text: str, path: str) -> np.ndarray:
-    voc = vocabulary(path)
-    known, piece = voc.pieces.get, voc.piece
-    ids: list[int] = []
-    for x in pieces_of()(text):
-        ids += known(x) or piece(x)
-    return np.array(ids, dtype="<u4")
+    return encode_all([text], path)[0]
 
 
 def decode(ids: np.ndarray, path: str) -> bytes:
-    of = vocabulary(path).bytes_of
-    return b"".join([of[i] for i in ids.tolist()])
+    return b"".join(map(vocabulary(path).bytes_of.__getitem__, ids.tolist()))
 
 
 def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -185,8 +252,8 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or public_tokenizers.path(VOCABULARY)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text", 1 << 20):
-            ids = [encode(bytes(x).decode("utf-8"), path) for x in utf8(batch.column("__text"))]
+        for batch in slices(batches, "__text", LONG):
+            ids = encode_all([bytes(x).decode("utf-8") for x in utf8(batch.column("__text"))], path)
             offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = np.concatenate([np.zeros(0, "<u4"), *ids]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
@@ -213,12 +280,9 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or public_tokenizers.path(VOCABULARY)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text", 1 << 20):
-            rows = []
-            for x in utf8(batch.column("__text")):
-                ids = encode(bytes(x).decode("utf-8"), path)
-                rows.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decode(ids, path)).hexdigest()))
-            n, a, b = zip(*rows)
+        for batch in slices(batches, "__text", LONG):
+            every = encode_all([bytes(x).decode("utf-8") for x in utf8(batch.column("__text"))], path)
+            n, a, b = zip(*((len(ids), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decode(ids, path)).hexdigest()) for ids in every))
             yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("__text")).mapInArrow(of, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
