@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -10,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Folder of all tables that operators write, within the shared one.
 WORK = "fleethealth-work"
@@ -73,6 +76,22 @@ def delete_work(spark: SparkSession, df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: Keys of over one row in this many are broadcast: there are at most as many of them, whatever the input.
+HOT_SHARE = 1000
+
+
+def join_sized(left: DataFrame, right: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """``left`` joined with ``right``, which has a row for each key; ``size`` is how many of left's ``total`` rows have the key.
+
+    The rows of hot keys stay where they are and meet a broadcast of at most
+    HOT_SHARE rows, so no task gets a key's rows as a whole; all others are shuffled.
+    """
+    limit = total // HOT_SHARE
+    hot, cold = right.where(F.col(size) > limit), right.where(F.col(size) <= limit)
+    near = left.join(F.broadcast(hot), keys)
+    return near.unionByName(left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys))
+
+
 def utf8(column: pa.Array) -> list[memoryview | bytes]:
     """Each text's UTF-8 bytes without a copy; null is empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -86,8 +105,24 @@ def utf8(column: pa.Array) -> list[memoryview | bytes]:
     return [data[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
 
 
+@functools.cache
+def _libc():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return None
+
+
+def release() -> None:
+    """Gives freed memory back to the system: Spark keeps Python workers, and what one task has freed counts against the executor while others run."""
+    pa.default_memory_pool().release_unused()
+    if trim := _libc():
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches of about ``most`` bytes of text, one row at least, so that memory depends on neither Arrow's batch size nor long rows."""
+    release()
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -97,3 +132,4 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = 4 << 20) ->
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+    release()

@@ -4,6 +4,7 @@ import io
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from fleethealth.llm import warc
 
@@ -67,7 +68,13 @@ def test_read_in_chunks_gives_the_payloads(spark, pages, tmp_path):
     for r in sorted(rows, key=lambda r: r.chunk_no):
         assert len(r.data) <= 700
         by[r.record_id] = by.get(r.record_id, b"") + bytes(r.data)
-    assert by["<urn:x-page:1>"] == b"" and by["<urn:x-page:3>"] == BIG.encode() and by["<urn:x-page:8>"] == PAGES[9][2].encode()
+    of = lambda page: [x for r, x in by.items() if r.startswith(f"<urn:x-page:{page}:")]
+    assert of(1) == [b""] and of(3) == [BIG.encode()] and of(8) == [PAGES[9][2].encode()]
+    assert len(by) == len(PAGES) and len(of(2)) == 2, "repeated rows are records of their own"
+    heads = warc.read_archives(index).collect()
+    response = {r.record_id for r in heads if r.record_type == "response"}
+    assert warc.record_id(3, hashlib.sha1(BIG.encode()).hexdigest()) in response, "what revisits refer to is there"
+    assert {r.url for r in heads if r.page_id == 1} == {"http://a/%20b"}
     one = index.first()
     with open(one.path.removeprefix("file://"), "rb") as f:
         f.seek(one.offset)
@@ -75,8 +82,18 @@ def test_read_in_chunks_gives_the_payloads(spark, pages, tmp_path):
     assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
 
 
+def test_spans_are_read_by_a_task_each(spark, tmp_path):
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit("http://x/").alias("url"), F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(60)), lambda k: F.sha2((F.col("id") * 100 + k).cast("string"), 256))).alias("html"))
+    index = warc.write_archives(pages.repartition(2), f"file://{tmp_path}/w")
+    few = warc.spans(index, 1 << 16)
+    assert few.rdd.getNumPartitions() == few.count() > index.select("path").distinct().count()
+    assert sum(1 for n in few.rdd.glom().map(len).collect() if n) > 0.7 * few.count()
+    got = {(r.page_id, r.payload_digest) for r in warc.read_archives(index, span=1 << 16).collect()}
+    assert got == {(r.page_id, hashlib.sha1(r.html.encode()).hexdigest()) for r in pages.collect()}
+
+
 def test_damaged_archives_are_noticed():
-    head = warc.header(1, "u", "response", hashlib.sha1(b"abc").hexdigest(), len(warc.http_header(3)) + 3, None) + warc.http_header(3)
+    head = warc.header("<urn:x>", "u", "response", hashlib.sha1(b"abc").hexdigest(), len(warc.http_header(3)) + 3, None) + warc.http_header(3)
     good = gzip.compress(head + b"abc\r\n\r\n")
     assert [(k, p, last) for _, k, p, last, _, _ in warc.records(warc.inflated(io.BytesIO(good), 10), 2)] == [(0, b"ab", False), (1, b"c", True)]
     for bad in (head + b"abd\r\n\r\n", head + b"ab", head + b"abcd\r\n\r\n"):
