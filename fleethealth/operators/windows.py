@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleethealth.config import Names, Windowing
 from fleethealth.operators.resample import fill_both_ways
 
+#: Windows' lengths in a part of a unit's series.
+PARTS = 8
+
 
 def rolling_mean(df: DataFrame, column: str, size: int, names: Names = Names(), out: str = "rolling_mean") -> DataFrame:
     """The mean of each full run of ``size`` rows, at its first row; rows that begin no full run are left out."""
@@ -17,33 +20,74 @@ def rolling_mean(df: DataFrame, column: str, size: int, names: Names = Names(),
     return df.withColumns({out: F.avg(column).over(w), "__n": F.count(F.lit(1)).over(w)}).where(F.col("__n") == size).drop("__n")
 
 
-def sliding(df: DataFrame, signals: Sequence[str], cfg: Windowing = Windowing(), names: Names = Names()) -> DataFrame:
-    """Windows of ``size`` rows that pass the gates, every ``step`` rows: unit, start_idx, end_idx_exclusive, times, coverages and fractions.
+def _gated(df: DataFrame, signals: Sequence[str], cfg: Windowing, names: Names) -> tuple[DataFrame, list[str]]:
+    """Each row with start_idx, what the window that begins there covers, and __open: whether the window passes; and the names of the fractions.
 
-    Only counts slide; nothing is copied into windows here (see tensors). Units
-    of fewer rows have none. The fractions are there if the series has
-    created_by_reindex and imputed_any.
+    A window's count is the difference of two running sums, one of them looked
+    up ``size - 1`` rows ahead, so the work doesn't grow with the windows' size.
     """
     w = Window.partitionBy(names.unit).orderBy(names.ts)
-    run = w.rowsBetween(0, cfg.size - 1)
+    sofar, ahead = w.rowsBetween(Window.unboundedPreceding, 0), cfg.size - 1
     there = [F.col(c).isNotNull().cast("int") for c in signals]
     rows = df.withColumns({"start_idx": F.row_number().over(w) - 1, "__seen": sum(there[1:], there[0]) if there else F.lit(0)})
-    made = {
-        "__n": F.count(F.lit(1)).over(run),
-        "end_time": F.last(names.ts).over(run),
-        "numeric_coverage": F.sum("__seen").over(run) / cfg.size / len(signals) if signals else F.lit(1.0),
-        "row_coverage": F.sum((F.col("__seen") > 0).cast("int")).over(run) / cfg.size if signals else F.lit(1.0),
-    }
-    gates = (F.col("numeric_coverage") >= cfg.min_numeric_coverage) & (F.col("row_coverage") >= cfg.min_row_coverage)
+    counts = {"seen": F.col("__seen"), "rows": (F.col("__seen") > 0).cast("int")}
     extra = []
     for name, source, most in (("created_fraction", "created_by_reindex", cfg.max_created_fraction), ("imputed_fraction", "imputed_any", cfg.max_imputed_fraction)):
         if source in df.columns:
-            made[name] = F.sum(F.col(source).cast("int")).over(run) / cfg.size
-            extra.append(name)
-            if most is not None:
-                gates &= F.col(name) <= most
-    out = rows.withColumns(made).where((F.col("__n") == cfg.size) & (F.col("start_idx") % cfg.step == 0) & gates)
-    return out.select(names.unit, F.lit("train_sliding").alias("window_type"), "start_idx", (F.col("start_idx") + cfg.size).alias("end_idx_exclusive"), F.col(names.ts).alias("start_time"), "end_time", "numeric_coverage", "row_coverage", *extra)
+            counts[name] = F.coalesce(F.col(source).cast("int"), F.lit(0))
+            extra.append((name, most))
+    rows = rows.withColumns({f"__own_{k}": c for k, c in counts.items()})
+    rows = rows.withColumns({f"__to_{k}": F.sum(f"__own_{k}").over(sofar) for k in counts})
+    rows = rows.withColumns({f"__at_{k}": F.lead(f"__to_{k}", ahead).over(w) for k in counts} | {"end_time": F.lead(names.ts, ahead).over(w), "__last": F.lead("start_idx", ahead).over(w)})
+    total = {k: F.col(f"__at_{k}") - F.col(f"__to_{k}") + F.col(f"__own_{k}") for k in counts}
+    made = {
+        "numeric_coverage": total["seen"] / cfg.size / len(signals) if signals else F.lit(1.0),
+        "row_coverage": total["rows"] / cfg.size if signals else F.lit(1.0),
+        **{name: total[name] / cfg.size for name, _ in extra},
+    }
+    gates = (F.col("numeric_coverage") >= cfg.min_numeric_coverage) & (F.col("row_coverage") >= cfg.min_row_coverage)
+    for name, most in extra:
+        if most is not None:
+            gates &= F.col(name) <= most
+    out = rows.withColumns(made).withColumn("__open", F.col("__last").isNotNull() & (F.col("start_idx") % cfg.step == 0) & gates)
+    return out, [name for name, _ in extra]
+
+
+def sliding(df: DataFrame, signals: Sequence[str], cfg: Windowing = Windowing(), names: Names = Names()) -> DataFrame:
+    """Windows of ``size`` rows that pass the gates, every ``step`` rows: unit, start_idx, end_idx_exclusive, times, coverages and fractions.
+
+    Only counts slide; nothing is copied into windows here (see tensors). Units
+    of fewer rows have none. The fractions are there if the series has
+    created_by_reindex and imputed_any, whose nulls count as 0.
+    """
+    rows, extra = _gated(df, signals, cfg, names)
+    return rows.where("__open").select(names.unit, F.lit("train_sliding").alias("window_type"), "start_idx", (F.col("start_idx") + cfg.size).alias("end_idx_exclusive"), F.col(names.ts).alias("start_time"), "end_time", "numeric_coverage", "row_coverage", *extra)
+
+
+def sliding_tensors(df: DataFrame, signals: Sequence[str], columns: Sequence[str], cfg: Windowing = Windowing(), names: Names = Names()) -> DataFrame:
+    """What ``tensors`` gives for the windows that ``sliding`` finds in the same series, which is read once and joined with nothing."""
+    rows, _ = _gated(df, signals, cfg, names)
+    rows = filled(rows, columns, cfg.train_fill, names)
+    window = F.struct(F.col("start_idx").alias("__at"), F.array(*(F.col(c).cast("float") for c in columns)).alias("x"), F.coalesce("__open", F.lit(False)).alias("open"), F.col(names.ts).alias("start_time"), "end_time")
+    parts = _parts(rows.select(names.unit, F.col("start_idx").alias("__at"), window.alias("__r")), cfg, names)
+    own = F.filter("__rows", lambda r: r["open"] & (r["__at"] < (F.col("__part") + 1) * PARTS * cfg.size))
+    chosen = parts.select(names.unit, "__part", F.col("__rows")["x"].alias("__x"), F.explode(own).alias("__w"))
+    return _finite(chosen.select(names.unit, F.col("__w.__at").alias("start_idx"), "__w.start_time", "__w.end_time", _slice(F.col("__x"), F.col("__w.__at"), cfg).alias("x")))
+
+
+def _parts(rows: DataFrame, cfg: Windowing, names: Names) -> DataFrame:
+    """A unit's rows (__at, __r), gathered in parts of PARTS * size rows, each with the first ``size`` rows of the next part."""
+    part = F.floor(F.col("__at") / (PARTS * cfg.size))
+    into = F.when((part > 0) & (F.col("__at") % (PARTS * cfg.size) < cfg.size), F.array(part, part - 1)).otherwise(F.array(part))
+    return rows.select(names.unit, F.explode(into).alias("__part"), "__r").groupBy(names.unit, "__part").agg(F.sort_array(F.collect_list("__r")).alias("__rows"))  # (PARTS + 1) * size rows at most
+
+
+def _slice(x: Column, start: Column, cfg: Windowing) -> Column:
+    return F.slice(x, (start - F.col("__part") * PARTS * cfg.size + 1).cast("int"), cfg.size)
+
+
+def _finite(windows: DataFrame) -> DataFrame:
+    return windows.where(F.forall("x", lambda r: F.forall(r, lambda v: ~F.isnan(v) & (F.abs(v) != float("inf")))))
 
 
 def filled(df: DataFrame, columns: Sequence[str], value: float, names: Names = Names()) -> DataFrame:
@@ -74,18 +118,16 @@ def block_metadata(rows: DataFrame, names: Names = Names()) -> DataFrame:
 def tensors(df: DataFrame, windows: DataFrame, columns: Sequence[str], cfg: Windowing = Windowing(), names: Names = Names()) -> DataFrame:
     """The chosen windows with x, an array of ``size`` rows of floats; windows are gated before anything is copied.
 
-    A unit's rows meet its windows by equal numbers of ``size`` rows: a window
-    touches two of these at most.
+    A unit's rows are gathered once, in parts of equal numbers of rows, and
+    each part also gets the first rows of the next one, as many as a window may
+    reach into it; a window is then a slice of the part in which it begins.
     """
     w = Window.partitionBy(names.unit).orderBy(names.ts)
     rows = filled(df, columns, cfg.train_fill, names).withColumn("__at", F.row_number().over(w) - 1)
-    rows = rows.select(names.unit, "__at", F.floor(F.col("__at") / cfg.size).alias("__part"), F.array(*(F.col(c).cast("float") for c in columns)).alias("__x"))
-    first = F.floor(F.col("start_idx") / cfg.size)
-    reach = windows.withColumn("__part", F.explode(F.array_distinct(F.array(first, F.floor((F.col("end_idx_exclusive") - 1) / cfg.size)))))
-    inside = reach.join(rows, [names.unit, "__part"]).where((F.col("__at") >= F.col("start_idx")) & (F.col("__at") < F.col("end_idx_exclusive")))
-    x = F.transform(F.sort_array(F.collect_list(F.struct("__at", "__x"))), lambda r: r["__x"])
-    out = inside.groupBy(names.unit, "start_idx").agg(F.first("start_time").alias("start_time"), F.first("end_time").alias("end_time"), x.alias("x"))
-    return out.where(F.forall("x", lambda r: F.forall(r, lambda v: ~F.isnan(v) & (F.abs(v) != float("inf")))))
+    parts = _parts(rows.select(names.unit, "__at", F.struct("__at", F.array(*(F.col(c).cast("float") for c in columns)).alias("x")).alias("__r")), cfg, names)
+    chosen = windows.withColumn("__part", F.floor(F.col("start_idx") / (PARTS * cfg.size))).select(names.unit, "__part", "start_idx", "start_time", "end_time")
+    inside = chosen.join(parts, [names.unit, "__part"])
+    return _finite(inside.select(names.unit, "start_idx", "start_time", "end_time", _slice(F.col("__rows")["x"], F.col("start_idx"), cfg).alias("x")))
 
 
 def last_rows(df: DataFrame, n: int = 168, names: Names = Names()) -> DataFrame:

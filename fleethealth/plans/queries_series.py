@@ -166,8 +166,7 @@ o AS (SELECT Unit, rn - 1 AS start_idx, count(*) OVER w AS n, sum(CASE WHEN fill
 SELECT Unit, CAST(start_idx AS BIGINT) AS start_idx, 24 AS steps, round(total, 3) AS total FROM o WHERE n = 24 AND start_idx % 3 = 0 AND nc >= 0.5 AND cf <= 0.95 AND im <= 0.8""",
 )
 def window_tensors(spark, d):
-    rows = regular(spark, d)
-    out = windows.tensors(rows, windows.sliding(rows, ["value"], GATE), ["value"], GATE)
+    out = windows.sliding_tensors(regular(spark, d), ["value"], ["value"], GATE)
     total = F.aggregate("x", F.lit(0.0), lambda a, r: a + r[0].cast("double"))
     return out.select("Unit", F.col("start_idx").cast("long").alias("start_idx"), F.size("x").alias("steps"), F.round(total, 3).alias("total"))
 
