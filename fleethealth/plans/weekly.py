@@ -49,7 +49,7 @@ def run_week(spark, silver: str, map_path: str, golden: str, year: int, week: in
     period = {"evaluation_week": F.lit(week), "evaluation_year": F.lit(year), "baseline_version": F.lit(version)}
     parts = rollup.components(again, mapping, cfg)
     history = f"{golden}/machine_status.parquet"
-    fleet = rollup.expected_fleet(base, spark.read.parquet(history) if readers.exists(spark, history) else None)
+    fleet = rollup.expected_fleet(base, readers.history(spark, history) if readers.recovered(spark, history) else None)
     machines = rollup.with_missing_units(rollup.machines(parts, "weighted", cfg), fleet, len(mapping.components))
     writers.upsert_components(parts.withColumns(period), f"{golden}/classified.parquet")
     writers.upsert_machines(machines.withColumns(period), history)

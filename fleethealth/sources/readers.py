@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
@@ -15,6 +16,7 @@ from fleethealth.config import ComponentMap
 
 # Names of weekly files.
 WEEK_FILE = "Week{week:02d}Year{year}.parquet"
+_WEEK_NAME = re.compile(r"Week(\d{2})Year(\d{4})\.parquet")
 
 
 def week_monday(year: int, week: int) -> dt.date:
@@ -72,12 +74,56 @@ def history_bounds(year: int, week: int, lookback_days: int = 90) -> tuple[dt.da
 
 
 def baseline_window(spark: SparkSession, folder: str, year: int, week: int, lookback_days: int = 90, ts: str = "Fecha") -> DataFrame:
-    """Telemetry of the days before a week, of all files that can be read, in one scan with the bounds pushed down."""
+    """Telemetry of the days before a week, of all files that can be read, in one scan with the bounds pushed down.
+
+    Only files whose week, by their names, may hold such days are opened: a
+    file is taken from a week before its Monday to a week after its Sunday, as
+    collectors close weeks late. AnalysisException if there is none.
+    """
     start, end = history_bounds(year, week, lookback_days)
-    df = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(f"{folder}/Week*.parquet")
+    slack = dt.timedelta(days=7)
+    paths = [p for p, y, w in week_files(spark, folder) if start - 2 * slack <= dt.datetime.combine(week_monday(y, w), dt.time()) <= end + slack]
+    df = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(*(paths or [f"{folder}/Week*.parquet"]))
     return _time(df, ts).where((F.col(ts) >= F.lit(start)) & (F.col(ts) <= F.lit(end)))
 
 
+def week_files(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """(path, year, week) of a folder's weekly files, by the names alone; other names are passed over."""
+    found = ((p, _WEEK_NAME.fullmatch(p.rstrip("/").rpartition("/")[2])) for p, _, _ in list_files(spark, folder, "Week*.parquet"))
+    return [(p, int(m[2]), int(m[1])) for p, m in found if m]
+
+
+def all_weeks(spark: SparkSession, folder: str, ts: str = "Fecha") -> DataFrame:
+    """Every weekly file of a folder in one scan, with file_year and file_week from its name. Files may lack each other's columns."""
+    df = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(f"{folder}/Week*.parquet")
+    name = F.input_file_name()
+    part = lambda k: F.regexp_extract(name, _WEEK_NAME.pattern, k).cast("int")
+    return _time(df.withColumns({"file_week": part(1), "file_year": part(2)}), ts)
+
+
+def recovered(spark: SparkSession, path: str) -> bool:
+    """Whether a history is there, after what a crash within ``writers.swap`` left has been put right.
+
+    If the history is missing, the version that was written to its end, else
+    the one that had been moved aside, takes its place.
+    """
+    if exists(spark, path):
+        return True
+    p, fs = _fs(spark, path)
+    beside = [x for x, _, _ in list_files(spark, *path.rstrip("/").rsplit("/", 1)[:1], pattern=f"{path.rstrip('/').rpartition('/')[2]}.*")]
+    for found in [x for x in beside if x.endswith(".new") and exists(spark, f"{x}/_SUCCESS")] + [x for x in beside if x.endswith(".old")]:
+        q, _ = _fs(spark, found)
+        return bool(fs.rename(q, p))
+    return False
+
+
+def history(spark: SparkSession, path: str) -> DataFrame:
+    """A history that ``writers.upsert`` keeps. FileNotFoundError without one."""
+    if not recovered(spark, path):
+        raise FileNotFoundError(path)
+    return spark.read.parquet(path)
+
+
 def previous_weeks(df: DataFrame, year: int, week: int, n: int, year_col: str = "eval_year", week_col: str = "eval_week") -> DataFrame:
     """The week and the n before it, with week_label and is_current."""
     monday = week_monday(year, week)

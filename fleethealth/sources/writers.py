@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleethealth.operators.baseline import metadata
-from fleethealth.sources.readers import _fs, exists
+from fleethealth.sources.readers import _fs, recovered
 
 MACHINE_KEY = ("unit_id", "evaluation_week", "evaluation_year")
 COMPONENT_KEY = ("unit_id", "component", "evaluation_week", "evaluation_year")
@@ -22,20 +22,26 @@ def save_baseline(base: DataFrame, folder: str) -> None:
 
 
 def merged(old: DataFrame | None, new: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Old and new rows, of a key the newest batch's; of repeated keys within a batch the last by all columns."""
+    """Old and new rows, of a key the newest batch's; of repeated keys within a batch the last by all plain columns, then by the JSON of the others."""
     new = new.withColumn("__batch", F.lit(1))
     both = new if old is None else old.withColumn("__batch", F.lit(0)).unionByName(new, allowMissingColumns=True)
     plain = [c for c, kind in both.dtypes if not kind.startswith(("map", "array", "struct")) and c not in key and c != "__batch"]
-    order = Window.partitionBy(*key).orderBy(F.desc("__batch"), *(F.desc(c) for c in plain))
+    nested = [F.to_json(F.struct(c)).desc() for c, _ in both.dtypes if c not in plain and c not in key and c != "__batch"]
+    order = Window.partitionBy(*key).orderBy(F.desc("__batch"), *(F.desc(c) for c in plain), *nested)
     return both.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank", "__batch")
 
 
 def swap(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Writes beside the path, then puts it in its place, so that df may read from the path."""
+    """Writes beside the path, then puts it in its place, so that df may read from the path.
+
+    A crash between the two renames leaves the history aside and the new one
+    complete; ``readers.recovered``, which every upsert and ``readers.history``
+    begin with, puts it in place. One writer at a time.
+    """
     beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(beside) if partition_by else df.write.parquet(beside)
+    df.write.partitionBy(*partition_by).parquet(f"{beside}.new") if partition_by else df.write.parquet(f"{beside}.new")
     p, fs = _fs(spark, path)
-    q, _ = _fs(spark, beside)
+    q, _ = _fs(spark, f"{beside}.new")
     if fs.exists(p):
         old, _ = _fs(spark, f"{beside}.old")
         fs.rename(p, old)
@@ -49,10 +55,15 @@ def swap(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[s
 def upsert(new: DataFrame, path: str, key: Sequence[str]) -> None:
     """Merges a batch into a history; doing it twice changes nothing. Sorted within partitions by the key's order."""
     spark = new.sparkSession
-    old = spark.read.parquet(path) if exists(spark, path) else None
+    old = spark.read.parquet(path) if recovered(spark, path) else None
     swap(spark, merged(old, new, key).sortWithinPartitions(*key), path)
 
 
+def save_forecast(made: DataFrame, path: str, version: str) -> None:
+    """A forecast as a partition of its version; writing a version again replaces it alone."""
+    made.withColumn("forecast_version", F.lit(version)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("forecast_version").parquet(path)
+
+
 def upsert_machines(new: DataFrame, path: str) -> None:
     upsert(new, path, MACHINE_KEY)
 
