@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from fleethealth.plans import queries_outlook, queries_series, queries_telemetry, registry
+from fleethealth.plans import queries_outlook, queries_series, queries_sources, queries_telemetry, registry
 
-MODULES = (queries_telemetry, queries_series, queries_outlook)
+MODULES = (queries_telemetry, queries_series, queries_outlook, queries_sources)
 
 
 def queries() -> dict[str, registry.Query]:

@@ -64,6 +64,11 @@ def mask_ranges(df: DataFrame, ranges: Mapping[str, tuple[float, float]] = RANGE
     return df.withColumns({c: F.when(F.col(c).between(a, b), F.col(c)) for c, (a, b) in ranges.items() if c in df.columns})
 
 
+def without(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Drops the columns that are there."""
+    return df.drop(*(c for c in columns if c in df.columns))
+
+
 def enough_signals(df: DataFrame, signals: Sequence[str]) -> DataFrame:
     """Rows with at least half of the signals, rounded down."""
     return df.na.drop(thresh=len(signals) // 2, subset=list(signals)) if len(signals) > 1 else df

@@ -72,12 +72,11 @@ class PCAReconstructor:
         mean, axes = self.mean, self.axes
 
         def of(x: pd.Series) -> pd.Series:
-            out = []
-            for rows in x:
-                flat = np.concatenate([np.asarray(r, dtype=np.float64) for r in rows])
-                back = mean + axes @ (axes.T @ (flat - mean))
-                out.append(back.reshape(len(rows), -1).tolist())
-            return pd.Series(out)
+            if not len(x):
+                return pd.Series([], dtype=object)
+            flat = np.stack([np.concatenate([np.asarray(r, dtype=np.float64) for r in rows]) for rows in x])
+            back = mean + (flat - mean) @ axes @ axes.T
+            return pd.Series([b.reshape(len(rows), -1).tolist() for b, rows in zip(back, x)])
 
         return df.withColumn("x_pred", F.pandas_udf(of, "array<array<double>>")("x"))
 

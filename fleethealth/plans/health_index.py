@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,14 +48,14 @@ def score_pairs(train: DataFrame, test: DataFrame, keys: Sequence[str], unit: st
     return Scores(by_signal, by_window, health.unit_scores(by_window, unit, cfg))
 
 
-def process_component(series: DataFrame, signals: Sequence[str], names: Names = Names(), weeks: int = 8, windowing: Windowing = Windowing(), cfg: Health = Health()) -> Scores:
-    """Split in time, scale by the training part, cut in blocks, reconstruct, score."""
+def process_component(series: DataFrame, signals: Sequence[str], names: Names = Names(), weeks: int = 8, windowing: Windowing = Windowing(), cfg: Health = Health(), reconstructor: Callable[[str], reconstruct.Reconstructor] = reconstruct.MeanReconstructor) -> Scores:
+    """Split in time, scale by the training part, cut in blocks, reconstruct, score. reconstructor: makes a model of rows unit, signal, y_true from the unit's column."""
     train, test = reconstruct.time_split(series, names.ts, weeks)
     pre = features.Preprocessor(list(signals)).fit(train)
     keep = [names.unit, names.ts]
     a = long_blocks(pre.transform(train, keep), signals, windowing, names)
     b = long_blocks(pre.transform(test, keep), signals, windowing, names)
-    model = reconstruct.MeanReconstructor(names.unit).fit(a)
+    model = reconstructor(names.unit).fit(a)
     return score_pairs(model.reconstruct(a), model.reconstruct(b), [names.unit, "hour_idx"], names.unit, cfg, names.ts)
 
 
