@@ -2,14 +2,15 @@
 
 Each language is a table of letter-trigram probabilities. The words of a
 document are drawn from a mixture of languages; expectation-maximisation
-estimates the proportions from the words' likelihoods, and languages enter the
-document's set, by falling proportion, while the likelihood gains more than a
-penalty. The proportions within the chosen set are the result.
+estimates the proportions from the words' likelihoods under each set of
+languages, and the set of the highest likelihood less a penalty for its size is
+the document's. The proportions within that set are the result.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +27,11 @@ BUCKETS = 1 << 16
 ROUNDS = 15
 #: A language beyond the first must gain half the logarithm of the words, and this.
 GAIN = 3.0
+#: Languages up to which all sets of them are tried.
+EXACT = 6
+TINY = np.float32(1e-30)
+#: Values of the hash by which training rows are chosen.
+HASHES = 1 << 40
 UNDETERMINED = "und"
 
 
@@ -66,51 +72,71 @@ def words_of(texts: list[bytes | memoryview]) -> Words:
     return Words(buckets.astype(np.int64), starts, counts)
 
 
-def mixtures(likelihood: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions of the languages in each document, and which are in its set.
+def proportions(likelihood: np.ndarray) -> tuple[np.ndarray, float]:
+    """Expectation-maximisation from equal shares: each language's share of a document's words, and the log likelihood.
 
-    likelihood: for each word, of each language, scaled so that the largest is 1;
-    counts: words of each document, in order, none being zero.
+    A word's likelihoods over their mean under the shares are its share of each
+    language, so a round is two products of the matrix with a vector.
+    """
+    n, m = likelihood.shape
+    pi = np.full(m, 1 / m, dtype=likelihood.dtype)
+    for _ in range(ROUNDS):
+        pi *= (1 / (likelihood @ pi + TINY)) @ likelihood / n
+    return pi, float(np.log(likelihood @ pi + TINY).sum(dtype=np.float64))
+
+
+def mixture(likelihood: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the languages in one document, and which are in its set.
+
+    likelihood: for each word, one at least, of each language, scaled so that
+    the largest is 1. The set is the one of the highest log likelihood less a
+    penalty for each language beyond the first; the smaller set, then the
+    languages that are first, at a tie. No set is likelier than all languages
+    together, so sets that can't make up for their penalty aren't tried. Of up
+    to EXACT languages all other sets are, of more those that add one language
+    to the best set of one less.
     """
-    n_docs, n_langs = len(counts), likelihood.shape[1]
-    doc = np.repeat(np.arange(n_docs), counts)
-    first = np.cumsum(counts) - counts
-
-    def fit(allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        pi = allowed / allowed.sum(axis=1, keepdims=True)
-        pi = pi.astype(np.float32)
-        for _ in range(ROUNDS):
-            r = likelihood * pi[doc]
-            r /= r.sum(axis=1, keepdims=True) + np.float32(1e-30)
-            pi = np.add.reduceat(r, first, axis=0) / counts[:, None].astype(np.float32)
-        total = (likelihood * pi[doc]).sum(axis=1)
-        return pi, np.add.reduceat(np.log(total.astype(np.float64) + 1e-30), first)
-
-    everything, all_fitted = fit(np.ones((n_docs, n_langs), dtype=np.float32))
-    order = np.argsort(-everything, axis=1, kind="stable")
-    best_pi, best_set, best = None, None, None
-    for k in range(1, n_langs + 1):
-        allowed = np.zeros((n_docs, n_langs), dtype=np.float32)
-        np.put_along_axis(allowed, order[:, :k], 1.0, axis=1)
-        if k == 1:
-            pi = allowed
-            score = np.add.reduceat(np.log((likelihood * pi[doc]).sum(axis=1).astype(np.float64) + 1e-30), first)
-            best_pi, best_set, best = pi, allowed > 0, score
-            continue
-        pi, fitted = fit(allowed) if k < n_langs else (everything, all_fitted)
-        score = fitted - (k - 1) * (0.5 * np.log(counts + 1.0) + GAIN)
-        better = score > best
-        best_pi = np.where(better[:, None], pi, best_pi)
-        best_set = np.where(better[:, None], allowed > 0, best_set)
-        best = np.where(better, score, best)
-    return best_pi, best_set
+    n, m = likelihood.shape
+    penalty = 0.5 * np.log(n + 1.0) + GAIN
+    alone = np.log(likelihood + TINY).sum(axis=0, dtype=np.float64)
+    chosen, shares = (int(alone.argmax()),), np.ones(1)
+    best = float(alone[chosen[0]])
+    everything = proportions(likelihood) if m > 1 else (shares, best)
+    grown = chosen
+    for k in range(2, m + 1):
+        if everything[1] - (k - 1) * penalty <= best:
+            break
+        tried = []
+        for langs in itertools.combinations(range(m), k) if m <= EXACT else [tuple(sorted((*grown, x))) for x in range(m) if x not in grown]:
+            pi, fitted = everything if k == m else proportions(likelihood[:, langs])
+            tried.append((fitted - (k - 1) * penalty, langs, pi))
+        score, grown, pi = max(tried, key=lambda x: x[0])
+        if score > best:
+            best, chosen, shares = score, grown, pi
+    out, member = np.zeros(m), np.zeros(m, dtype=bool)
+    out[list(chosen)], member[list(chosen)] = shares, True
+    return out, member
+
+
+def mixtures(likelihood: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The mixture of each document; counts: words of each, in the order of likelihood's rows."""
+    ends = np.cumsum(counts)
+    found = [mixture(likelihood[e - n : e]) for e, n in zip(ends.tolist(), counts.tolist())]
+    return np.stack([x for x, _ in found]), np.stack([x for _, x in found])
 
 
 def training_rows(docs: DataFrame, per_language: int) -> DataFrame:
-    """The rows that languages are learnt from: at most ``per_language`` of each lang, by the hash of doc_id."""
+    """The rows that languages are learnt from: at most ``per_language`` of each lang, by the hash of doc_id.
+
+    Rows far above a lang's limit are left out before the rows of a lang meet,
+    so a lang of a third of all rows brings no more of them than another.
+    """
     own = docs.where("lang is not null and text is not null and doc_id is not null")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = own.select("doc_id", "lang").withColumn("rank", rank).where(F.col("rank") <= per_language).select(F.col("doc_id").alias("__fit")).distinct()
+    hashed = own.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)).alias("hash"))
+    share = F.least(F.lit(1.0), (per_language + 10 * float(np.sqrt(per_language)) + 50) / F.count(F.lit(1)))
+    limits = F.broadcast(hashed.groupBy("lang").agg(F.ceil(share * HASHES).alias("limit")))  # a row a language
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id"))
+    ids = hashed.join(limits, "lang").where("hash < limit").withColumn("rank", rank).where(F.col("rank") <= per_language).select(F.col("doc_id").alias("__fit")).distinct()
     return own.join(F.broadcast(ids), own.doc_id == ids["__fit"], "left_semi").select("lang", "text")  # per_language rows a language
 
 
