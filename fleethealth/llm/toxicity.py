@@ -1,42 +1,43 @@
 """Toxicity by weak supervision.
 
 Words and word stems that go with the label, found by a test that allows for
-the number of candidates, are dealt to lexicon voters; pattern voters look at
-shouting, masked words, address and the like; two voters stand for clean text.
-A generative label model estimates, without looking at what is true, how
-accurate each voter is and which voters are correlated beyond the label; its
-posterior labels train a linear classifier over the words and stems, which
-scores every whole text.
+the number of candidates, form lexicons: a voter for words and one for stems, at
+each level of purity. Pattern voters look at shouting, masked words, address and
+the like; two voters stand for clean text. A generative label model estimates
+from the votes on all documents, labelled or not, how accurate each voter is and
+which voters are correlated beyond the label; labels are its first guess and no
+vote. Its posterior labels train a linear classifier over the words and stems,
+which scores every whole text.
 """
 
 from __future__ import annotations
 
 import itertools
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleethealth.llm.common import slices, table, utf8, written
+from fleethealth.llm.near_copies import shingle_sets
 
-#: Rows that the models are fitted on: labelled and not labelled, those of the lowest hash of doc_id.
+#: Labelled rows that lexicons and classifier are learnt from, those of the lowest hash of doc_id.
 FIT_LABELLED = 20_000
-FIT_OTHER = 5_000
-#: Words and stems that the classifier may use.
-FEATURES = 8192
 STEMS = (3, 4, 5, 6, 7, 8)
 #: A feature is used if the share of labelled rows among those that hold it is above one of these, two standard errors
 #: allowed for. Which one, the labelled rows that no feature is chosen on decide.
 PURITIES = (0.5, 0.6, 0.7, 0.8, 0.9)
 THRESHOLD = 0.3
-LEXICONS = 3  # voters for each kind of feature
 REMEMBERED = 150_000
+#: Features that a task counts before it passes them on.
+COUNTED = 50_000
+#: Share of a stem's toxic rows that one word or longer stem may have.
+ONE_WORD = 0.8
 ABSTAIN, CLEAN, TOXIC = 0, 1, 2
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -88,13 +89,13 @@ class LabelModel:
                 out[v] = float(right / max(cast, 1e-12))
         return out
 
-    def _em(self, votes: np.ndarray, p: np.ndarray, rounds: int) -> np.ndarray:
+    def _em(self, votes: np.ndarray, p: np.ndarray, rounds: int, times: np.ndarray) -> np.ndarray:
         for _ in range(rounds):
-            self.prior = float(np.clip(p.mean(), 1e-4, 1 - 1e-4))
+            self.prior = float(np.clip(np.average(p, weights=times), 1e-4, 1 - 1e-4))
             self.tables = []
             for group in self.groups:
                 c, size = self._codes(votes, group), 3 ** len(group)
-                t = np.stack([np.bincount(c, weights=w, minlength=size) for w in (1 - p, p)]) + 0.5 / size
+                t = np.stack([np.bincount(c, weights=w, minlength=size) for w in (times * (1 - p), times * p)]) + 0.5 / size
                 self.tables.append(t / t.sum(axis=1, keepdims=True))
             new = self.posterior(votes)
             if np.abs(new - p).max() < 1e-4:
@@ -103,18 +104,20 @@ class LabelModel:
         return p
 
     @staticmethod
-    def beyond_label(cast: np.ndarray, start: np.ndarray, rounds: int = 100) -> np.ndarray:
-        """How far voters (columns of -1, 0, 1) correlate beyond what the label explains.
+    def beyond_label(cast: np.ndarray, start: np.ndarray, times: np.ndarray, rounds: int = 100) -> np.ndarray:
+        """How far voters (columns of -1, 0, 1; rows that stand for as many as ``times`` says) correlate beyond what the label explains.
 
         If the label alone made voters agree, their covariances would be products
         of one number for each voter. These are fitted by least absolute
         deviations, which a few correlated pairs don't bend; what is left over is
         returned, in units of the voters' deviations.
         """
-        centred = cast - cast.mean(axis=0)
-        cov = centred.T @ centred / len(cast)
+        share = times / times.sum()
+        centred = cast - share @ cast
+        cov = (centred * share[:, None]).T @ centred
         dev = np.sqrt(np.diag(cov)) + 1e-9
-        v = centred.T @ (start - start.mean()) / len(cast) / (start.std() + 1e-9)
+        guess = start - share @ start
+        v = centred.T @ (share * guess) / (np.sqrt(share @ guess**2) + 1e-9)
         off = ~np.eye(len(cov), dtype=bool)
         for _ in range(rounds):
             w = np.where(off, 1 / np.maximum(np.abs(cov - np.outer(v, v)), 1e-6), 0.0)
@@ -122,11 +125,12 @@ class LabelModel:
         return np.where(off, cov - np.outer(v, v), 0.0) / dev[:, None] / dev[None, :]
 
     @classmethod
-    def fit(cls, votes: np.ndarray, start: np.ndarray, strong: float = 0.15, most: int = 6, rounds: int = 50) -> tuple[LabelModel, np.ndarray]:
-        """votes: rows x voters of ABSTAIN, CLEAN, TOXIC; start: a first guess of the posterior, which says what toxic is."""
+    def fit(cls, votes: np.ndarray, start: np.ndarray, times: np.ndarray | None = None, strong: float = 0.15, most: int = 6, rounds: int = 50) -> tuple[LabelModel, np.ndarray]:
+        """votes: rows x voters of ABSTAIN, CLEAN, TOXIC; start: a first guess of the posterior, which says what toxic is; times: how many documents voted like a row."""
         m = votes.shape[1]
+        times = np.ones(len(votes)) if times is None else np.asarray(times, dtype=float)
         model = cls(groups=[(v,) for v in range(m)])
-        corr = model.beyond_label((votes == TOXIC).astype(float) - (votes == CLEAN), start)
+        corr = model.beyond_label((votes == TOXIC).astype(float) - (votes == CLEAN), start, times)
         member = {v: (v,) for v in range(m)}
         for a, b in sorted(itertools.combinations(range(m), 2), key=lambda x: -abs(corr[x])):
             if abs(corr[a, b]) < strong:
@@ -137,7 +141,7 @@ class LabelModel:
                 for v in joint:
                     member[v] = joint
         model.groups = sorted(set(member.values()))
-        return model, model._em(votes, start, rounds)
+        return model, model._em(votes, start, rounds, times)
 
 
 def logistic(rows: list[np.ndarray], n_features: int, target: np.ndarray, l2: float = 1e-3, rounds: int = 300) -> tuple[np.ndarray, float]:
@@ -168,12 +172,12 @@ class Classifier:
     label_model: LabelModel
     known: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
-    def scores(self, texts: list[str]) -> list[float]:
+    def scores(self, texts: list[str]) -> np.ndarray:
         known = self.known
         of = self.weights.get
-        out = []
+        hits = []
         for text in texts:
-            hits: set[int] = set()
+            found: set[int] = set()
             for x in words_of(text):
                 own = known.get(x)
                 if own is None:
@@ -182,148 +186,233 @@ class Classifier:
                         known.clear()
                     known[x] = own
                 if own:
-                    hits.update(own)
-            z = self.b + float(self.w[sorted(hits)].sum()) if hits else self.b
-            out.append(1 / (1 + float(np.exp(-np.clip(z, -40, 40)))))
-        return out
+                    found.update(own)
+            hits.append(sorted(found))
+        return self.scores_of(hits)
+
+    def scores_of(self, hits: list[list[int]]) -> np.ndarray:
+        """Scores of documents whose features' numbers are known."""
+        z = np.array([self.b + float(self.w[x].sum()) if x else self.b for x in hits])
+        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, labelled: int, other: int) -> DataFrame:
-    """(text, toxic or null, checks): what is fitted on; a fifth of the rows checks. Of a doc_id that is labelled twice the higher label counts."""
-    free = lambda d: d.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    marked = free(labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic is not null")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    docs = free(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null"))
-    first = lambda d, n: d.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    chosen = first(marked, labelled)
-    rest = first(docs.select("doc_id").join(marked.select("doc_id"), "doc_id", "left_anti"), other).select("doc_id", F.lit(None).cast("int").alias("toxic"))
-    # labelled + other rows at most
-    checks = F.pmod(F.crc32(F.concat(F.lit("check"), F.col("doc_id").cast("string"))), F.lit(5)) == 0
-    return docs.join(F.broadcast(chosen.unionByName(rest)), "doc_id").select("text", "toxic", checks.alias("checks"))
+def _marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the rows that labels may be learnt from. Of a doc_id that is labelled twice the higher label counts."""
+    labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    return labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, labelled: int) -> DataFrame:
+    """(doc_id, text, toxic, checks): the labelled rows that are learnt from, of ``labelled`` doc_ids at most; a fifth of the rows checks.
+
+    Rows are dealt to learning and checking by their least five-word shingle,
+    and of rows that share it, copies and near copies, one stays: a label that
+    is repeated with its text is no more evidence than once.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    chosen = _marked(docs, labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
+    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")  # ``labelled`` ids at most
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            h, n = shingle_sets(utf8(batch.column("text")))
+            first = np.where(n > 0, np.append(h, np.uint64(0))[np.cumsum(n) - n], np.uint64(0))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "toxic", "text")), pa.array(first.view(np.int64))], names=["doc_id", "toxic", "text", "least"])
+
+    marked = written(rows.mapInArrow(of, "doc_id long, toxic int, text string, least long"), "toxicity-labelled")
+    stays = marked.groupBy("least").agg(F.min("doc_id").alias("doc_id"))
+    checks = F.pmod(F.xxhash64("least"), F.lit(5)) == 0
+    return marked.join(stays, ["least", "doc_id"], "left_semi").dropDuplicates(["doc_id", "least"]).select("doc_id", "text", "toxic", checks.alias("checks"))
 
 
-def _mine(rows: DataFrame, most: int) -> list[tuple[int, str, float]]:
+def _mine(rows: DataFrame) -> list[tuple[int, str, float]]:
     """Words and stems that go with the label more often than chance explains, the strongest first, with the lower bound of their purity."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both: Counter = Counter()
         toxic: Counter = Counter()
+
+        def counted() -> pa.RecordBatch:
+            keys = list(both)
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in keys], pa.int32()), pa.array([x for _, x in keys], pa.string()), pa.array([both[f] for f in keys], pa.int64()), pa.array([toxic[f] for f in keys], pa.int64())],
+                names=["kind", "feature", "n", "n_toxic"],
+            )
+            both.clear()
+            toxic.clear()
+            return out
+
         for batch in slices(batches, "text"):
             for text, y in zip(utf8(batch.column("text")), batch.column("toxic").to_pylist()):
                 own = {f for x in words_of(bytes(text).decode("utf-8")) for f in features(x)}
                 both.update(own)
                 if y:
                     toxic.update(own)
-        keys = list(both)
-        for at in range(0, len(keys), 100_000):
-            part = keys[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in part], pa.int32()), pa.array([x for _, x in part], pa.string()), pa.array([both[f] for f in part], pa.int64()), pa.array([toxic[f] for f in part], pa.int64())],
-                names=["kind", "feature", "n", "n_toxic"],
-            )
+                if len(both) >= COUNTED:
+                    yield counted()
+        yield counted()
 
-    rows = rows.where("toxic is not null")
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic")).first()
     if not total.n or not total.toxic or total.toxic == total.n:
         return []
     rate = total.toxic / total.n
-    counted = written(rows.mapInArrow(count, "kind int, feature string, n long, n_toxic long").groupBy("kind", "feature").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("k")).where("k >= 3"), "features")
+    candidates = Observation("candidates")
+    grouped = rows.mapInArrow(count, "kind int, feature string, n long, n_toxic long").groupBy("kind", "feature").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("k"))
+    counted = written(grouped.observe(candidates, F.count(F.lit(1)).alias("n")).where("k >= 3"), "features")
     xlog = lambda a, b: F.when(a > 0, a * F.log(a / b)).otherwise(0.0)
     k, n = F.col("k").cast("double"), F.col("n").cast("double")
     evidence = 2 * (xlog(k, n * rate) + xlog(n - k, n * (1 - rate)))
-    needed = 2 * float(np.log(max(1, counted.count()))) + 2
+    needed = 2 * float(np.log(max(1, candidates.get["n"]))) + 2
     low = (k + 2 - 2 * F.sqrt(k * (n - k) / n + 1)) / (n + 4)  # Wilson's bound
-    best = counted.withColumns({"evidence": evidence, "low": low}).where((F.col("low") > max(PURITIES[0], 2 * rate)) & (F.col("evidence") > needed)).orderBy(F.desc("evidence"), "kind", "feature").limit(most).collect()
-    return [(r.kind, r.feature, r.low) for r in best]
+    best = counted.withColumns({"evidence": evidence, "low": low}).where((F.col("low") > max(PURITIES[0], 2 * rate)) & (F.col("evidence") > needed)).orderBy(F.desc("evidence"), "kind", "feature").collect()  # of the sample's words
+    return [(r.kind, r.feature, r.low) for r in _own_evidence(best)]
+
+
+def _own_evidence(found: list) -> list:
+    """Drops stems whose toxic rows nearly all come from one longer stem or word that is found as well: these say nothing about other words."""
+    most: dict[str, int] = {}
+    for r in found:
+        for n in STEMS:
+            if n < len(r.feature):
+                most[r.feature[:n]] = max(r.k, most.get(r.feature[:n], 0))
+        if r.kind == 0 and len(r.feature) in STEMS:
+            most[r.feature] = max(r.k, most.get(r.feature, 0))
+    return [r for r in found if r.kind == 0 or most.get(r.feature, 0) < ONE_WORD * r.k]
+
 
+LEVELS = len(PURITIES)
+#: A document's votes are the bits of one number, in this order; that no lexicon votes is a vote as well.
+VOTERS = [*(f"{kind}_{p}" for kind in ("words", "stems") for p in PURITIES), *_PATTERNS, "hardly_found"]
 
-def _observe(rows: DataFrame, index: dict[tuple[int, str], int]) -> list:
-    """For each row its features' numbers, its patterns' hits, its number of words and its label; in an order of their own, so that fits repeat."""
-    shared = rows.sparkSession.sparkContext.broadcast(index)
+
+def _observed(rows: DataFrame, chosen: list[tuple[int, str, float]], *more: str) -> DataFrame:
+    """For each row its features' numbers (hits) and its votes, with doc_id and the columns ``more``."""
+    index = {(kind, x): i for i, (kind, x, _) in enumerate(chosen)}
+    bits = [1 << ((kind > 0) * LEVELS + sum(low > p for p in PURITIES) - 1) for kind, _, low in chosen]
+    shared = rows.sparkSession.sparkContext.broadcast((index, bits))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in slices(batches, "text"):
-            hits, patterns, words = [], [], []
-            for text in utf8(batch.column("text")):
+        numbers, bits = shared.value
+        get, known = numbers.get, {}
+        for batch in slices(batches, "__text"):
+            hits, votes = [], []
+            for text in utf8(batch.column("__text")):
                 text = bytes(text).decode("utf-8")
-                own = words_of(text)
-                hits.append(sorted({known[f] for x in own for f in features(x) if f in known}))
-                patterns.append([bool(p.search(text)) for p in _PATTERNS.values()])
-                words.append(len(own))
-            yield pa.RecordBatch.from_arrays([pa.array(hits, pa.list_(pa.int32())), pa.array(patterns, pa.list_(pa.bool_())), pa.array(words, pa.int64()), batch.column("toxic"), batch.column("checks")], names=["hits", "patterns", "words", "toxic", "checks"])
-
-    seen = rows.mapInArrow(of, "hits array<int>, patterns array<boolean>, words long, toxic int, checks boolean").collect()  # the sample's size
-    return sorted(seen, key=lambda r: (r.words, r.hits, r.patterns, str(r.toxic), r.checks))
-
-
-def voters(index: dict[tuple[int, str], int]) -> tuple[list[str], np.ndarray]:
-    """Names of all voters, and the lexicon voter of each feature."""
-    kinds = [0, *STEMS]
-    own = np.zeros(len(index), dtype=np.int64)
-    for (kind, x), i in index.items():
-        own[i] = kinds.index(kind) * LEXICONS + zlib.crc32(x.encode()) % LEXICONS
-    names = [f"{'word' if k == 0 else f'stem{k}'}_{j}" for k in kinds for j in range(LEXICONS)]
-    return [*names, *_PATTERNS, "nothing_found", "hardly_found", "annotator"], own
-
-
-def _trained(seen: list, index: dict[tuple[int, str], int], used: np.ndarray) -> tuple[LabelModel, np.ndarray, float]:
-    """Label model and classifier of the observed rows, by the features in use alone."""
-    names, lexicon = voters(index)
-    own = len(names) - 3 - len(_PATTERNS)
+                words = words_of(text)
+                found: set[int] = set()
+                for x in words:
+                    own = known.get(x)
+                    if own is None:
+                        own = tuple(i for f in features(x) if (i := get(f)) is not None)
+                        if len(known) >= REMEMBERED:
+                            known.clear()
+                        known[x] = own
+                    if own:
+                        found.update(own)
+                said = 0
+                for i in found:
+                    said |= bits[i]
+                for k, pattern in enumerate(_PATTERNS.values()):
+                    if pattern.search(text):
+                        said |= 1 << 2 * LEVELS + k
+                if len(found) * 200 <= len(words):
+                    said |= 1 << len(VOTERS) - 1
+                hits.append(sorted(found))
+                votes.append(said)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(hits, pa.list_(pa.int32())), pa.array(votes, pa.int32()), *(batch.column(c) for c in more)], names=["doc_id", "hits", "votes", *more])
+
+    kinds = dict(rows.dtypes)
+    own = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("__text"), *more)
+    return own.mapInArrow(of, ", ".join(["doc_id long, hits array<int>, votes int", *(f"{c} {kinds[c]}" for c in more)]))
+
+
+def votes_of(said: np.ndarray, purity: float) -> np.ndarray:
+    """Rows x voters of ABSTAIN, CLEAN, TOXIC; lexicons of a lower purity abstain, and the last voter says clean where no lexicon speaks."""
+    bit = (said[:, None] >> np.arange(len(VOTERS)) & 1).astype(bool)
+    bit[:, [k for k in range(2 * LEVELS) if PURITIES[k % LEVELS] < purity]] = False
+    out = np.where(bit, TOXIC, ABSTAIN).astype(np.int8)
+    out[:, -1] = np.where(bit[:, -1], CLEAN, ABSTAIN)
+    nothing = np.where(bit[:, : 2 * LEVELS].any(axis=1), ABSTAIN, CLEAN)
+    return np.concatenate([out, nothing[:, None].astype(np.int8)], axis=1)
+
+
+def _labels(said: np.ndarray, times: np.ndarray, marked: np.ndarray, toxic: np.ndarray, purity: float) -> tuple[LabelModel, dict[int, float]]:
+    """The label model, and the posterior for each combination of votes.
+
+    said: the combinations; times: documents of each; marked, toxic: labelled ones and those of them labelled toxic.
+    """
+    votes = votes_of(said, purity)
+    guess = np.where(votes[:, -1] == CLEAN, 0.05, 0.6)
+    model, posterior = LabelModel.fit(votes, (toxic + 2 * guess) / (marked + 2), times)
+    return model, dict(zip(said.tolist(), posterior.tolist()))
+
+
+def _linear(seen: list, chosen: list[tuple[int, str, float]], posterior: dict[int, float], purity: float) -> tuple[np.ndarray, float]:
+    """Classifier of the sampled rows, by posterior labels, over features of the purity."""
+    used = np.array([low > purity for _, _, low in chosen], dtype=bool)
     hits = [h[used[h]] for h in (np.asarray(r.hits, dtype=np.int64) for r in seen)]
-    votes = np.zeros((len(seen), len(names)), dtype=np.int8)
-    for i, (r, h) in enumerate(zip(seen, hits)):
-        votes[i, lexicon[h]] = TOXIC
-        votes[i, own:-3][np.asarray(r.patterns)] = TOXIC
-        votes[i, -3] = ABSTAIN if len(h) else CLEAN
-        votes[i, -2] = CLEAN if len(h) * 200 <= r.words else ABSTAIN
-        votes[i, -1] = ABSTAIN if r.toxic is None else TOXIC if r.toxic else CLEAN
-    cast = (votes[:, :own] == TOXIC).any(axis=1)
-    start = np.where(votes[:, -1] == TOXIC, 0.8, np.where(votes[:, -1] == CLEAN, 0.05, np.where(cast, 0.6, 0.05)))
-    model, posterior = LabelModel.fit(votes, start)
-    w, b = logistic(hits, len(index), posterior)
-    return model, np.where(used, w, 0.0), b
-
-
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = FIT_LABELLED, other: int = FIT_OTHER, most: int = FEATURES) -> Classifier:
-    """Fits on ``labelled`` and ``other`` rows at most; the driver holds their features' numbers and no texts."""
-    rows = written(sample(docs, labels, labelled, other), "toxicity-sample")
-    limit = _purity(rows, most)
-    chosen = [f for f in _mine(rows, most) if f[2] > limit]
-    index = {(kind, x): i for i, (kind, x, _) in enumerate(chosen)}
-    if not index:
-        rate = rows.where("toxic is not null").agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
-        rate = min(max(rate, 0.001), 0.999)
-        return Classifier({}, np.zeros(0), float(np.log(rate / (1 - rate))), LabelModel(prior=rate))
-    model, w, b = _trained(_observe(rows, index), index, np.ones(len(index), dtype=bool))
-    return Classifier(index, w, b, model)
+    w, b = logistic(hits, len(chosen), np.array([posterior[r.votes] for r in seen]))
+    return np.where(used, w, 0.0), b
 
 
-def _purity(rows: DataFrame, most: int) -> float:
-    """The limit of PURITIES by which a model of four fifths of the rows labels the rest best, the strictest of equals."""
-    chosen = _mine(rows.where("not checks"), most)
-    index = {(kind, x): i for i, (kind, x, _) in enumerate(chosen)}
-    purity = np.array([low for _, _, low in chosen])
-    seen = _observe(rows, index) if index else []
-    learn, check = [r for r in seen if not r.checks], [r for r in seen if r.checks and r.toxic is not None]
-    true = np.array([bool(r.toxic) for r in check])
+def _seen(rows: DataFrame) -> list:
+    """The sample's observations, in an order of their own, so that fits repeat."""
+    return sorted(rows.collect(), key=lambda r: (r.votes, r.hits, r.toxic, r.checks))  # FIT_LABELLED ids
+
+
+def _purity(rows: DataFrame) -> float:
+    """The limit of PURITIES by which a model of four fifths of the sample labels the rest best, the strictest of equals."""
+    chosen = _mine(rows.where("not checks"))
+    seen = _seen(_observed(rows, chosen, "toxic", "checks")) if chosen else []
+    learn, check = [r for r in seen if not r.checks], [r for r in seen if r.checks]
+    if not learn or not check:
+        return PURITIES[0]
+    said, place = np.unique([r.votes for r in learn], return_inverse=True)
+    times, toxic = np.bincount(place), np.bincount(place, weights=[float(r.toxic > 0) for r in learn])
+    true = np.array([r.toxic > 0 for r in check])
     best, limit = -1.0, PURITIES[0]
-    for p in PURITIES if check else ():
-        used = purity > p
-        if not used.any():
+    for p in PURITIES:
+        if not any(low > p for _, _, low in chosen):
             break
-        _, w, b = _trained(learn, index, used)
-        said = np.array([w[r.hits].sum() + b >= np.log(THRESHOLD / (1 - THRESHOLD)) for r in check])
-        f1 = 2 * float((said & true).sum()) / max(1, int(said.sum() + true.sum()))
+        _, posterior = _labels(said, times, times, toxic, p)
+        w, b = _linear(learn, chosen, posterior, p)
+        say = np.array([w[r.hits].sum() + b >= np.log(THRESHOLD / (1 - THRESHOLD)) for r in check])
+        f1 = 2 * float((say & true).sum()) / max(1, int(say.sum() + true.sum()))
         if f1 >= best:
             best, limit = f1, p
     return limit
 
 
+def _fitted(docs: DataFrame, labels: DataFrame, labelled: int) -> tuple[Classifier, DataFrame | None]:
+    """The classifier, and each row's hits and votes (doc_id, hits, votes)."""
+    rows = written(sample(docs, labels, labelled), "toxicity-sample")
+    chosen = _mine(rows)
+    if not chosen:
+        rate = rows.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0] or 0.0
+        rate = min(max(rate, 0.001), 0.999)
+        return Classifier({}, np.zeros(0), float(np.log(rate / (1 - rate))), LabelModel(prior=rate)), None
+    purity = _purity(rows)
+    votes = written(_observed(docs, chosen), "toxicity-votes")
+    marked = _marked(docs, labels).select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"))
+    told = votes.where(~held_out(F.col("doc_id"))).join(marked, "doc_id", "left").groupBy("votes").agg(F.count(F.lit(1)).alias("times"), F.count("toxic").alias("marked"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic"))
+    said, times, known, toxic = (np.array(x) for x in zip(*sorted(tuple(r) for r in told.collect())))  # at most 2 ** len(VOTERS) rows, whatever the input
+    model, posterior = _labels(said, times, known, toxic, purity)
+    w, b = _linear(_seen(_observed(rows, chosen, "toxic", "checks")), chosen, posterior, purity)
+    return Classifier({(kind, x): i for i, (kind, x, _) in enumerate(chosen)}, w, b, model), votes
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = FIT_LABELLED) -> Classifier:
+    """Lexicons and classifier are learnt from ``labelled`` labelled rows at most, the label model from the votes on all rows.
+
+    The driver holds the sample's features' numbers and a count for each combination of votes, and no texts.
+    """
+    return _fitted(docs, labels, labelled)[0]
+
+
 def scored(docs: DataFrame, model: Classifier) -> DataFrame:
     """doc_id, score and predicted for each row.
 
@@ -336,10 +425,30 @@ def scored(docs: DataFrame, model: Classifier) -> DataFrame:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "__text"):
-            score = shared.value.scores([bytes(x).decode("utf-8") for x in utf8(batch.column("__text"))])
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(score, pa.float64()), pa.array([int(x >= THRESHOLD) for x in score], pa.int32())], names=["doc_id", "score", "predicted"])
+            yield _result(batch.column("__id"), shared.value.scores([bytes(x).decode("utf-8") for x in utf8(batch.column("__text"))]))
+
+    return docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("__text")).mapInArrow(of, RESULT)
+
+
+RESULT = "doc_id long, score double, predicted int"
+
+
+def _result(ids: pa.Array, score: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([ids, pa.array(score, pa.float64()), pa.array((score >= THRESHOLD).astype(np.int32))], names=["doc_id", "score", "predicted"])
+
+
+def fitted_scores(docs: DataFrame, labels: DataFrame, labelled: int = FIT_LABELLED) -> DataFrame:
+    """What ``scored`` gives by a model of the same docs; the words that the label model's votes have found are not looked for again."""
+    model, votes = _fitted(docs, labels, labelled)
+    if votes is None:
+        return scored(docs, model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _result(batch.column("doc_id"), shared.value.scores_of(batch.column("hits").to_pylist()))
 
-    return docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("__text")).mapInArrow(of, "doc_id long, score double, predicted int")
+    return votes.select("doc_id", "hits").mapInArrow(of, RESULT)
 
 
 def accepted(docs: DataFrame, model: Classifier, threshold: float = THRESHOLD) -> DataFrame:
@@ -355,6 +464,5 @@ def accepted(docs: DataFrame, model: Classifier, threshold: float = THRESHOLD) -
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = fit(docs, table(spark, sf_dir, "labels"))
-    return scored(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    found = fitted_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
