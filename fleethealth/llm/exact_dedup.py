@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from fleethealth.llm.common import delete_work, slices, table, utf8, written
+from fleethealth.llm.common import delete_work, join_sized, slices, table, utf8, written
 
 PRIMES = (2147483647, 2147483629)
 BASES = (1103515245, 1299709601)
@@ -205,16 +206,26 @@ def exact_groups(docs: DataFrame, filter_bits: int = 1 << 25) -> DataFrame:
         same = prints.join(clashes, key, "left_anti").join(groups.drop("text_sha256"), key)
         joined = same.select(*apart.columns).unionByName(apart)
     else:
-        joined = prints.join(groups, key)
+        joined = join_sized(prints, groups, key, "group_size", prints.count())
     return joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns, extra ones too. Of repeated rows with one doc_id and text one stays."""
+    """The rows of docs that stay, with all their columns, extra ones too.
+
+    Of rows that repeat doc_id and text one stays, the least by the hash of
+    all columns (those that Spark can hash), so that a second run keeps the same.
+    """
     key = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     ids = exact_groups(docs).where("kept").select(key(F.col("doc_id")).alias("__fh_id"), F.col("text_sha256").alias("__fh_sha"))
     texts = docs.withColumns({"__fh_id": key(F.col("doc_id")), "__fh_sha": F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)})
-    return texts.join(ids, ["__fh_id", "__fh_sha"], "left_semi").dropDuplicates(["__fh_id", "__fh_sha"]).select(*docs.columns)
+    return _one_row(texts.join(ids, ["__fh_id", "__fh_sha"], "left_semi"), docs)
+
+
+def _one_row(stays: DataFrame, docs: DataFrame) -> DataFrame:
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, MapType)]
+    least = F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.xxhash64(*hashed)).alias("row")  # combined before the shuffle
+    return stays.groupBy("__fh_id", "__fh_sha").agg(least).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,8 @@
 A first pass puts the 64-bit hash of every line key into a filter of keys that
 were seen once and, when another document brings it, into one of keys that
 were seen twice. A second pass looks each line up in the second filter; only
-lines that may be repeats are shuffled, and their text decides. A filter's false
-hit costs a shuffled row and never changes the result.
+lines that may be repeats are shuffled, and their text decides; a document then
+gets the SHA-256 of what it loses. A filter's false hit costs a shuffled row and never changes the result.
 """
 
 from __future__ import annotations
@@ -107,7 +107,7 @@ def filter_words(n_docs: int) -> int:
 
 
 def repeated_lines(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
-    """Lines to drop: (doc_id, digest), digest being the 128-bit hash of the line's key. See deduplicated_lines."""
+    """Lines to drop: (doc_id, digest), digest being the SHA-256 of the line's key. See deduplicated_lines."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     words = filter_words(docs.count())
@@ -128,7 +128,7 @@ def repeated_lines(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in hit], pa.int64()), pa.array([keys[i] for i in hit], pa.binary())], names=["doc_id", "key"])
 
     found = written(docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).mapInArrow(suspects, "doc_id long, key binary"), "suspects")
-    digest = F.unhex(F.md5("key"))
+    digest = F.unhex(F.sha2("key", 256))
     first = found.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").select(digest.alias("digest"), "first")
     return found.select("doc_id", digest.alias("digest")).join(first, "digest").where("doc_id <> first").select("doc_id", "digest")
 
@@ -159,7 +159,7 @@ def deduplicated_lines(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
                     continue
                 gone = set(drop)
                 own = bytes(text).split(b"\n")
-                stay = [x for x, k in zip(own, document_keys(text, least)) if k is None or hashlib.md5(k, usedforsecurity=False).digest() not in gone]
+                stay = [x for x, k in zip(own, document_keys(text, least)) if k is None or hashlib.sha256(k).digest() not in gone]
                 texts.append(b"\n".join(stay))
                 lines.append(len(own))
                 dropped.append(len(own) - len(stay))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from fleethealth.llm.common import LOWER, slices, utf8, written
 from fleethealth.llm.components import Forest, connected
-from fleethealth.llm.simhash import xxh64_spans
+from fleethealth.llm.simhash import is_home, xxh64_spans
 
 WIDTH = 5
 #: As numerator and denominator, so that exactly 0.8 counts.
@@ -147,7 +147,7 @@ def candidates(nodes: DataFrame, tile: int = TILE) -> DataFrame:
             for i, (c, t) in enumerate(zip(batch.column("cell").to_pylist(), batch.column("tile").to_pylist())):
                 rows = batch.column("rows")[i].values
                 data = np.stack([rows.field(x).to_numpy(zero_copy_only=False) for x in ("node", "n", "a", "b")]).tobytes()
-                homes = [(o, k) for o in range(c - STEPS - 1, c + 1) for k in range(n_tiles.get(o, 0)) if (o, k) <= (c, t)]
+                homes = [(o, k) for o in range(c - STEPS - 1, c + STEPS + 2) for k in range(n_tiles.get(o, 0)) if is_home((o, k), (c, t))]
                 for at in range(0, len(homes), 16):
                     part = homes[at : at + 16]
                     yield pa.RecordBatch.from_arrays(

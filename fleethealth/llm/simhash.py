@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,11 +142,17 @@ def _offsets(radius: int) -> list[tuple[int, ...]]:
     return [x for x in itertools.product(range(-radius, radius + 1), repeat=PARTS) if sum(map(abs, x)) <= radius]
 
 
-def below(cell: int, radius: int = RADIUS) -> list[int]:
-    """Cells that can hold a fingerprint within the radius, and that are not above ``cell``."""
+def around(cell: int, radius: int = RADIUS) -> list[int]:
+    """Cells that can hold a fingerprint within the radius of one in ``cell``, itself included."""
     own = [cell // 17**k % 17 for k in range(PARTS)]
     moved = ([a + b for a, b in zip(own, step)] for step in _offsets(radius))
-    return [c for x in moved if all(0 <= y <= 16 for y in x) and (c := sum(y * 17**k for k, y in enumerate(x))) <= cell]
+    return [sum(y * 17**k for k, y in enumerate(x)) for x in moved if all(0 <= y <= 16 for y in x)]
+
+
+def is_home(one: tuple[int, int], other: tuple[int, int]) -> bool:
+    """Whether ``one`` of two tiles is where the pair is compared: a coin for each pair, so that every tile is home to half of its pairs."""
+    low, high = sorted((one, other))
+    return one == other or (one == low) == bool(zlib.crc32(np.array([*low, *high], dtype=np.int64).tobytes()) & 1)
 
 
 def forest_edges(a: np.ndarray, b: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
@@ -193,7 +200,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
         for batch in batches:
             cells, nos, fps = batch.column("cell").to_pylist(), batch.column("tile").to_pylist(), batch.column("fps")
             for i, (c, t) in enumerate(zip(cells, nos)):
-                homes = [(o, k) for o in below(c, radius) for k in range(n_tiles.get(o, 0)) if (o, k) <= (c, t)]
+                homes = [(o, k) for o in around(c, radius) for k in range(n_tiles.get(o, 0)) if is_home((o, k), (c, t))]
                 for at in range(0, len(homes), 256):
                     part = homes[at : at + 256]
                     yield pa.RecordBatch.from_arrays(

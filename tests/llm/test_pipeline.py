@@ -1,8 +1,10 @@
 import corpus_pipeline
 import pytest
 
+from fleethealth.llm import language_id, toxicity
 from fleethealth.llm.common import written
-from tests.llm.test_dedup import brute_components, brute_print
+from tests.llm.conftest import TEXTS
+from tests.llm.test_near_copies import brute_kept
 from tests.llm.test_text import check_packing
 
 
@@ -49,10 +51,42 @@ def test_exact_stage(kept):
 
 
 def test_near_stage(kept):
+    """Near copies are texts whose five-word shingles have a Jaccard similarity of 0.8 or more, as the pipeline's contract has it, not op5's digests."""
     rows = sorted(texts(kept[3]))
-    ids = [i for i, _ in rows]
-    roots = brute_components(ids, [brute_print(t) for _, t in rows])
-    assert sorted(i for i, _ in texts(kept[4])) == sorted(set(roots))
+    assert sorted(i for i, _ in texts(kept[4])) == brute_kept(rows)
+
+
+def test_toxicity_stage_is_the_score(spark, small, kept):
+    """A document goes just if its own score reaches the threshold."""
+    score = {r.doc_id: r.score for r in toxicity.fitted_scores(kept[0], spark.read.parquet(f"{small}/labels.parquet")).collect()}
+    assert sorted(i for i, _ in texts(kept[1])) == sorted(i for i, x in score.items() if x < toxicity.THRESHOLD)
+
+
+def test_language_stage_is_the_largest_share(spark, small, kept):
+    model = language_id.fit(spark.read.parquet(f"{small}/documents.parquet"))
+    want = []
+    for i, t in texts(kept[1]):
+        names, pi, _ = model.identify([(t or "").encode()])
+        if names[0] != "und" and pi[0].max() >= 0.5:
+            want.append(i)
+    assert sorted(i for i, _ in texts(kept[2])) == sorted(want)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_of_odd_rows(spark, small, odd, none, name):
+    """Nulls, empty and blank texts, repeated rows, clashing columns, and no rows at all."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    got = stage(spark, odd, small)
+    ids = [r.doc_id for r in got.select("doc_id").collect()]
+    assert stage(spark, none, small).count() == 0
+    if name != "best_fit_packing":
+        assert got.columns == odd.columns
+    if name in ("toxicity", "best_fit_packing"):
+        assert set(ids) == {i for i, _ in TEXTS}
+    if name == "language_id":
+        assert not {3, 4, 5} & set(ids)
+    if name == "exact_dedup":
+        assert len(ids) == len({t or "" for _, t in TEXTS})
 
 
 def test_packing_stage(kept):
