@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleethealth.llm.common import LOWER, slices, table, utf8, written
+from fleethealth.llm.common import LOWER, join_sized, slices, table, utf8, written
 from fleethealth.llm.components import Forest, connected
 
 SHINGLE = 3
@@ -239,13 +239,14 @@ def near_groups(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, til
     is null. An empty table gives an empty one.
     """
     prints = written(fingerprints(docs, width), "simhashes")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
     nodes = written(distinct, "distinct")
     roots = connected(links(nodes.select("fp"), radius, tile))
-    labelled = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = labelled.join(ids, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    labelled = written(nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", "rows", F.coalesce("root", "fp").alias("root")), "labelled")
+    ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("nodes"))
+    by_print = written(join_sized(labelled, ids, ["root"], "nodes", labelled.count()).select("fp", "rows", "component_id"), "by-print")
+    joined = join_sized(prints, by_print, ["fp"], "rows", prints.count())
+    return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
