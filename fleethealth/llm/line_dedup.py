@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleethealth.llm.common import LOWER, SPACE, slices, table, utf8, written
+from fleethealth.llm.common import LOWER, SPACE, join_sized, slices, table, utf8, written
 
 LEAST_CHARS = 10
 #: 64-bit words of a filter: what a task can hold. With over about eight keys a word more lines are shuffled, no other ones dropped.
@@ -129,8 +129,10 @@ def repeated_lines(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
 
     found = written(docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text")).mapInArrow(suspects, "doc_id long, key binary"), "suspects")
     digest = F.unhex(F.sha2("key", 256))
-    first = found.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").select(digest.alias("digest"), "first")
-    return found.select("doc_id", digest.alias("digest")).join(first, "digest").where("doc_id <> first").select("doc_id", "digest")
+    ends = found.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
+    first = written(ends.where("first <> last").select(digest.alias("digest"), "first", "n"), "repeated-lines")
+    lines = found.select("doc_id", digest.alias("digest"))
+    return join_sized(lines, first, ["digest"], "n", found.count()).where("doc_id <> first").select("doc_id", "digest")
 
 
 def deduplicated_lines(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
