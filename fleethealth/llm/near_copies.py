@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleethealth.llm.common import LOWER, slices, utf8, written
+from fleethealth.llm.common import LOWER, join_sized, slices, utf8, written
 from fleethealth.llm.components import Forest, connected
 from fleethealth.llm.simhash import is_home, xxh64_spans
 
@@ -235,11 +235,12 @@ def deduplicated(docs: DataFrame, tile: int = TILE) -> DataFrame:
     an empty one.
     """
     prints = written(fingerprints(docs), "near-prints")
-    nodes = written(prints.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("n").alias("n"), F.min("a").alias("a"), F.min("b").alias("b")), "near-nodes")
+    nodes = written(prints.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("least"), F.min("n").alias("n"), F.min("a").alias("a"), F.min("b").alias("b")), "near-nodes")
     roots = connected(links(docs, nodes, tile))
-    labelled = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = labelled.join(ids, "root").select("node", "component_id")
-    stays = prints.where("doc_id is not null").join(by_node, "node").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
+    labelled = written(nodes.join(roots, "node", "left").select("node", "least", "rows", F.coalesce("root", "node").alias("root")), "near-labelled")
+    ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("nodes"))
+    by_node = written(join_sized(labelled, ids, ["root"], "nodes", labelled.count()).select("node", "rows", "component_id"), "by-node")
+    joined = join_sized(prints.where("doc_id is not null"), by_node, ["node"], "rows", prints.count())
+    stays = joined.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
     gone = stays.where("not stays").select(F.col("doc_id").alias("__fh_gone"))
     return docs.join(gone, F.col("doc_id").cast("long") == gone["__fh_gone"], "left_anti").select(*docs.columns)
