@@ -24,6 +24,8 @@ from fleethealth.llm.tokens import encoder
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK = 64
+#: A block may grow to this many times its first size before the tree is built anew.
+FULL = 4
 #: Code points before an edit that can see it: the pattern looks at most this far beyond a match.
 CONTEXT = 3
 REMEMBERED = 400_000
@@ -59,7 +61,7 @@ class Document:
     """A text, its pre-tokens' lengths and tokens in blocks, and a tree of the blocks' sums."""
 
     def __init__(self, text: str, count: Counter) -> None:
-        self.text, self.count, self.recounted = text, count, 0
+        self.text, self.count, self.recounted, self.builds = text, count, 0, 0
         pieces = count.split(text)
         get = count.known.get
         lengths = list(map(len, pieces))
@@ -69,6 +71,7 @@ class Document:
 
     def _build(self) -> None:
         """tree[1] is the root; the leaf of block b is tree[size + b]."""
+        self.builds += 1
         self.size = 1 << (len(self.blocks) - 1).bit_length()
         self.tree = [(0, 0)] * (2 * self.size)
         for b, (lengths, tokens) in enumerate(self.blocks):
@@ -77,13 +80,17 @@ class Document:
             (a, b), (c, d) = self.tree[2 * i], self.tree[2 * i + 1]
             self.tree[i] = a + c, b + d
 
-    def _corrected(self, b: int) -> None:
-        i = self.size + b
-        self.tree[i] = sum(self.blocks[b][0]), sum(self.blocks[b][1])
-        while i > 1:
-            i //= 2
-            (a, x), (c, y) = self.tree[2 * i], self.tree[2 * i + 1]
-            self.tree[i] = a + c, x + y
+    def _corrected(self, first: int, last: int) -> None:
+        """Corrects the sums of the leaves of blocks first to last and of what lies above them, level by level."""
+        low, high = self.size + first, self.size + last
+        for i in range(low, high + 1):
+            lengths, tokens = self.blocks[i - self.size]
+            self.tree[i] = sum(lengths), sum(tokens)
+        while low > 1:
+            low, high = low // 2, high // 2
+            for i in range(low, high + 1):
+                (a, b), (c, d) = self.tree[2 * i], self.tree[2 * i + 1]
+                self.tree[i] = a + c, b + d
 
     def _place(self, at: int) -> tuple[int, int, int]:
         """Block and pre-token that hold code point ``at``, and where the pre-token begins; the end is in the last one."""
@@ -150,12 +157,15 @@ class Document:
         lengths = head[0][:k] + lengths + tail[0][ok:]
         tokens = head[1][:k] + tokens + tail[1][ok:]
         last = min(ob, len(self.blocks) - 1)
-        if last == b and 0 < len(lengths) <= 2 * BLOCK:
-            self.blocks[b] = lengths, tokens
-            self._corrected(b)
-        else:  # blocks come or go: the tree is built anew from the blocks' sums, without a look at the text
+        size = -(-len(lengths) // (last - b + 1))
+        if size <= FULL * BLOCK:  # the blocks that the edit touched share what is there now; some may become empty
+            for i in range(b, last + 1):
+                at = (i - b) * size
+                self.blocks[i] = lengths[at : at + size], tokens[at : at + size]
+            self._corrected(b, last)
+        else:  # blocks overflow, after at least (FULL - 1) * BLOCK new pre-tokens for each: the tree is built anew from the blocks' sums, without a look at the text
             self.blocks[b : last + 1] = [(lengths[i : i + BLOCK], tokens[i : i + BLOCK]) for i in range(0, len(lengths), BLOCK)]
-            self.blocks = self.blocks or [([], [])]
+            self.blocks = [x for x in self.blocks if x[0]]
             self._build()
 
 

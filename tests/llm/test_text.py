@@ -96,6 +96,46 @@ def test_few_code_points_are_counted_again():
     assert doc.recounted < 40 and doc.tokens() == len(count.encode(doc.text))
 
 
+def sums_hold(doc):
+    """Whether each node of the tree is the sum of the blocks below it."""
+    leaves = [(sum(a), sum(b)) for a, b in doc.blocks] + [(0, 0)] * (doc.size - len(doc.blocks))
+    sums = [(0, 0)] * doc.size + leaves
+    for i in range(doc.size - 1, 0, -1):
+        sums[i] = sums[2 * i][0] + sums[2 * i + 1][0], sums[2 * i][1] + sums[2 * i + 1][1]
+    return sums == doc.tree
+
+
+def test_edits_over_many_blocks_correct_sums():
+    count = token_counts.counter(public_tokenizers.path(token_counts.VOCABULARY))
+    text = "some words and more of them, 12 or 345; " * 800
+    doc, rng = token_counts.Document(text, count), np.random.default_rng(5)
+    for _ in range(150):
+        at, n = int(rng.integers(0, len(text) + 1)), int(rng.choice([0, 3, 40, 2500]))
+        new = "new parts, " * int(rng.choice([0, 1, 7, 150]))
+        text = text[:at] + new + text[at + n :]
+        doc.edit(at, at + n, new)
+        assert doc.text == text and sums_hold(doc)
+        assert doc.tokens() == len(count.encode(text))
+        cut = int(rng.integers(0, len(text) + 1))
+        ends = np.cumsum([len(x) for x in count.split(text)])
+        assert doc.prefix_tokens(cut) == sum(map(count, count.split(text)[: int((ends <= cut).sum())]))
+    doc.edit(0, len(text), "")
+    assert doc.tokens() == 0 and sums_hold(doc)
+    doc.edit(0, 0, "again")
+    assert doc.tokens() == len(count.encode("again"))
+
+
+def test_few_trees_are_built():
+    count = token_counts.counter(public_tokenizers.path(token_counts.VOCABULARY))
+    doc = token_counts.Document("some words " * 5000, count)
+    for _ in range(1000):
+        doc.edit(30000, 30000, " more")
+    assert doc.builds <= 1 + 1000 // ((token_counts.FULL - 1) * token_counts.BLOCK) + 1
+    doc.edit(10000, 40000, "")
+    doc.edit(0, 0, "x")
+    assert doc.tokens() == len(count.encode(doc.text)) and sums_hold(doc)
+
+
 def test_counts_of_odd_rows(odd, none):
     enc = tokens.encoder(public_tokenizers.path(token_counts.VOCABULARY))
     want = []
