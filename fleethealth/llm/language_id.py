@@ -24,6 +24,8 @@ from fleethealth.llm.common import slices, table, utf8
 #: Documents that a language's table is learnt from: those of the lowest hash of doc_id.
 FIT_PER_LANGUAGE = 4000
 BUCKETS = 1 << 16
+#: Bytes of a text that are looked at together; a longer text goes through in pieces.
+PIECE = 1 << 20
 ROUNDS = 15
 #: A language beyond the first must gain half the logarithm of the words, and this.
 GAIN = 3.0
@@ -56,12 +58,30 @@ class Words:
     counts: np.ndarray
 
 
+def _letters(text: str) -> np.ndarray:
+    return _symbols()[np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)]
+
+
+def pieces(text: bytes | memoryview, most: int = PIECE) -> Iterator[bytes | memoryview]:
+    """The text in pieces of at most ``most`` bytes, or of one word that is longer; each but the last ends with a character that is no letter, so words and their trigrams stay whole."""
+    at, end = 0, most
+    while end < len(text):
+        seen = bytes(text[at:end]).decode("utf-8", "ignore")  # a character that the end cuts is left to the next piece
+        gaps = np.flatnonzero(_letters(seen) == 0)
+        if len(gaps):
+            cut = at + len(seen[: gaps[-1] + 1].encode("utf-8"))
+            yield text[at:cut]
+            at, end = cut, cut + most
+        else:
+            end += end - at
+    yield text[at:]
+
+
 def words_of(texts: list[bytes | memoryview]) -> Words:
     codes, counts = [], np.zeros(len(texts), dtype=np.int64)
-    table_ = _symbols()
     gap = np.zeros(1, dtype=np.uint32)
     for i, text in enumerate(texts):
-        s = table_[np.frombuffer(bytes(text).decode("utf-8").encode("utf-32-le"), dtype=np.uint32)]
+        s = _letters(bytes(text).decode("utf-8"))
         codes += [gap, s]
         letter = s > 0
         counts[i] = int(letter[:1].sum()) + int((letter[1:] & ~letter[:-1]).sum())
@@ -146,19 +166,33 @@ class Languages:
     #: log probability of each bucket in each language, as BUCKETS x languages
     table: np.ndarray
 
-    def identify(self, texts: list[bytes | memoryview]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Name, proportions and set for each text."""
+    def likelihood(self, words: Words) -> np.ndarray:
+        """For each word of each language, scaled so that the largest is 1."""
+        if not len(words.starts):
+            return np.zeros((0, len(self.names)), dtype=self.table.dtype)
+        logs = np.add.reduceat(self.table[words.buckets], words.starts, axis=0)
+        return np.exp(logs - logs.max(axis=1, keepdims=True))
+
+    def identify(self, texts: list[bytes | memoryview], most: int = PIECE) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Name, proportions and set for each text.
+
+        Of a text of over ``most`` bytes a row of numbers is held for each word, and of one piece all letters.
+        """
         n = len(self.names)
         names = [UNDETERMINED] * len(texts)
         pi, chosen = np.zeros((len(texts), n)), np.zeros((len(texts), n), dtype=bool)
-        words = words_of(texts)
+        if not n:
+            return names, pi, chosen
+        words = words_of([x if len(x) <= most else b"" for x in texts])
         full = np.flatnonzero(words.counts)
-        if n and len(full):
-            logs = np.add.reduceat(self.table[words.buckets], words.starts, axis=0)
-            likelihood = np.exp(logs - logs.max(axis=1, keepdims=True))
-            pi[full], chosen[full] = mixtures(likelihood, words.counts[full])
-            for i in full.tolist():
-                names[i] = self.names[int(pi[i].argmax())]
+        if len(full):
+            pi[full], chosen[full] = mixtures(self.likelihood(words), words.counts[full])
+        for i in [i for i, x in enumerate(texts) if len(x) > most]:
+            likelihood = np.concatenate([self.likelihood(words_of([x])) for x in pieces(texts[i], most)])
+            if len(likelihood):
+                pi[i], chosen[i] = mixture(likelihood)
+        for i in np.flatnonzero(chosen.any(axis=1)).tolist():
+            names[i] = self.names[int(pi[i].argmax())]
         return names, pi, chosen
 
 
@@ -171,8 +205,10 @@ def learn(rows: DataFrame) -> Languages:
             langs = batch.column("lang").to_pylist()
             texts = utf8(batch.column("text"))
             for lang in sorted(set(langs)):
-                now = np.bincount(words_of([t for t, x in zip(texts, langs) if x == lang]).buckets, minlength=BUCKETS)
-                held[lang] = held[lang] + now if lang in held else now
+                own = [t for t, x in zip(texts, langs) if x == lang]
+                for some in [[t for t in own if len(t) <= PIECE], *([x] for t in own if len(t) > PIECE for x in pieces(t))]:
+                    now = np.bincount(words_of(some).buckets, minlength=BUCKETS)
+                    held[lang] = held[lang] + now if lang in held else now
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([x.astype(np.int64).tobytes() for x in held.values()], pa.binary())], names=["lang", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

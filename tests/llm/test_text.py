@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -356,6 +357,39 @@ def test_languages_of_a_text_do_not_depend_on_others():
     assert (pi[0] == both_pi[1]).all()
 
 
+def some_languages(n=4):
+    rng = np.random.default_rng(5)
+    return language_id.Languages([f"l{i}" for i in range(n)], np.log(rng.dirichlet([0.05] * language_id.BUCKETS, n).T + 1e-9).astype(np.float32))
+
+
+LONG = ["word " * 700, "x" * 3000, "ß É 你好。мир 😀 " * 200, "你好" * 900, "a b" + "c" * 500 + " d" * 300, " " * 2500, "12 34 " * 400]
+
+
+@pytest.mark.parametrize("most", [7, 64, 1000])
+def test_pieces_of_long_texts_are_the_text(most):
+    """A long text in pieces has the words, trigrams and languages that it has as a whole, also beside other texts."""
+    model, texts = some_languages(), [x.encode() for x in (*LONG, "", "a", "".join(LONG))]
+    for text in texts:
+        parts = list(language_id.pieces(text, most))
+        assert b"".join(parts) == text
+        whole, cut = language_id.words_of([text]), [language_id.words_of([x]) for x in parts]
+        assert np.concatenate([x.buckets for x in cut]).tolist() == whole.buckets.tolist()
+        assert sum(int(x.counts[0]) for x in cut) == whole.counts[0] == len(whole.starts)
+    want, got = model.identify(texts), model.identify(texts, most)
+    assert want[0] == got[0] and (want[1] == got[1]).all() and (want[2] == got[2]).all()
+
+
+def test_memory_of_a_long_text():
+    """What a long text needs beside itself is a row of numbers for each word, not for each letter."""
+    model, text = some_languages(), b"seven letters a word, " * 400_000
+    model.identify([b"a"])
+    tracemalloc.start()
+    model.identify([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15 * len(text)
+
+
 def plain_mixture(likelihood, rounds=15):
     """Every set of languages, by expectation-maximisation written out word by word."""
     n, m = len(likelihood), len(likelihood[0])
